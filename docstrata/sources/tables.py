@@ -9,12 +9,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docstrata.spec import PipelineSpec
 
-AUDIT_SCHEMA = T.StructType.fromDDL(
-    "source_filename string, status string, documents bigint, rejected bigint, "
-    "row_count bigint, distinct_keys bigint, ingestion_ts timestamp_ntz, batch_id bigint"
+AUDIT_SCHEMA = (
+    T.StructType()
+    .add("source_filename", T.StringType())
+    .add("status", T.StringType())
+    .add("documents", T.LongType())
+    .add("rejected", T.LongType())
+    .add("row_count", T.LongType())
+    .add("distinct_keys", T.LongType())
+    .add("ingestion_ts", T.TimestampNTZType())
+    .add("batch_id", T.LongType())
 )
-REJECTS_SCHEMA = T.StructType.fromDDL(
-    "source_filename string, file_modified_at timestamp_ntz, text string, batch_id bigint"
+REJECTS_SCHEMA = (
+    T.StructType()
+    .add("source_filename", T.StringType())
+    .add("file_modified_at", T.TimestampNTZType())
+    .add("text", T.StringType())
+    .add("batch_id", T.LongType())
 )
 
 
