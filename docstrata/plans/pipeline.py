@@ -15,6 +15,7 @@ from docstrata.operators.quality import ingestion_audit
 from docstrata.operators.upsert import align_to_schema, merge_upsert
 from docstrata.sources.documents import flatten_documents, parsed_texts, rows_of_parsed
 from docstrata.sources.files import read_raw
+from docstrata.sources.scratch import durable
 from docstrata.sources.tables import (
     AUDIT_SCHEMA,
     REJECTS_SCHEMA,
@@ -57,7 +58,7 @@ def ingest_texts(
     engine: str = "typed",
     ingestion_ts: dt.datetime | None = None,
 ) -> DataFrame:
-    """The master table after ingesting the raw texts; nothing is written.
+    """The master table after ingesting the raw texts; no table is written.
 
     ``append`` adds every row, ``append_dedup`` one per natural key of the
     batch, ``merge`` updates the rows of ``master`` with the same natural key.
@@ -69,7 +70,8 @@ def ingest_texts(
         return rows
     master = align_to_schema(master, schema)
     if mode == "merge":
-        return merge_upsert(master, rows, spec.natural_key)
+        # Read several times by the merge: parsed and de-duplicated once.
+        return merge_upsert(master, durable(rows), spec.natural_key)
     return master.unionByName(rows)
 
 
@@ -109,7 +111,7 @@ def commit_batch(
             target = read_table(
                 spark, f"{tables.master}/generation={previous}", spec.master_schema()
             )
-            rows = merge_upsert(target, rows, spec.natural_key)
+            rows = merge_upsert(target, durable(rows), spec.natural_key)
         write_table(rows, f"{tables.master}/generation={batch_id}")
     else:
         write_table(rows, f"{tables.master}/batch_id={batch_id}")
