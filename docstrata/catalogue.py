@@ -217,6 +217,18 @@ def changed_records(spark, sf_dir):
     return ds.changed_records(lines, _LINE_KEY, [*_UNTRACKED_LINE, "l_shipdate"])
 
 
+@query(
+    """SELECT * FROM events WHERE event_type IN (
+        SELECT event_type FROM events GROUP BY event_type
+        HAVING count(*) > 1 AND count(DISTINCT row(user_id, value, props)) > 1)"""
+)
+def changed_records_hot(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return ds.changed_records(
+        events, "event_type", ["event_id", "ts"], hot_rows=_hot_rows(events)
+    )
+
+
 @query(
     """SELECT event_type, count(*) AS row_count, count(DISTINCT props) AS distinct_contents
     FROM events WHERE user_id = 8 GROUP BY event_type"""
@@ -486,10 +498,12 @@ def nested_ingest_merge(spark, sf_dir):
 
 
 def _delivery_master(spark, sf_dir):
-    """Dockets with the shipping date as the time of their ingestion."""
+    """Master table of dockets with the shipping date as the time of ingestion."""
     rows = ds.flatten_documents(delivery_documents(spark, sf_dir), _spec())
     stamp = F.coalesce("LOADED_TIME", F.lit("1990-01-01").cast("timestamp_ntz"))
-    return rows.select(*_DELIVERY_COLUMNS, stamp.alias("INGESTION_TS"))
+    path = scratch_path(spark, "master")
+    ds.write_table(rows.select(*_DELIVERY_COLUMNS, stamp.alias("INGESTION_TS")), path)
+    return ds.read_table(spark, path, _spec().master_schema())
 
 
 _MASTER = f"""SELECT *, coalesce(LOADED_TIME, TIMESTAMP '1990-01-01') AS INGESTION_TS

@@ -18,6 +18,7 @@ from docstrata.functions.fingerprint import (
 from docstrata.operators.flatten import to_key_value
 from docstrata.operators.versions import (
     HOT_ROWS,
+    hot_keys,
     number_versions,
     oldest_first,
     with_predecessor,
@@ -58,12 +59,25 @@ def change_summary(
 
 
 def changed_records(
-    df: DataFrame, key: str | Sequence[str], exclude: Sequence[str] = ()
+    df: DataFrame,
+    key: str | Sequence[str],
+    exclude: Sequence[str] = (),
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """All versions of every key in the change summary; NULL keys never match."""
+    """All versions of every key in the change summary; NULL keys never match.
+
+    Rows of hot keys stay where they are and meet the broadcast list of changed
+    hot keys, which is as short as the list of hot keys.
+    """
     keys = column_list(key)
     changed = change_summary(df, keys, exclude).select(*keys)
-    return df.join(changed, keys, "left_semi")
+    hot = hot_keys(df, keys, hot_rows) if hot_rows else {}
+    if not hot:
+        return df.join(changed, keys, "left_semi").select(*df.columns)
+    is_hot = F.xxhash64(*keys).isin(*hot)
+    rest = df.where(~is_hot).join(changed.where(~is_hot), keys, "left_semi")
+    found = df.where(is_hot).join(F.broadcast(changed.where(is_hot)), keys, "left_semi")
+    return rest.unionByName(found).select(*df.columns)
 
 
 def fingerprints(

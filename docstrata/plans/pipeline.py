@@ -13,6 +13,7 @@ from docstrata.operators.changes import change_log, change_summary
 from docstrata.operators.latest import latest_per_key, latest_view
 from docstrata.operators.quality import ingestion_audit
 from docstrata.operators.upsert import align_to_schema, merge_upsert
+from docstrata.operators.versions import HOT_ROWS
 from docstrata.sources.documents import flatten_documents, parsed_texts, rows_of_parsed
 from docstrata.sources.files import read_raw
 from docstrata.sources.scratch import durable
@@ -196,12 +197,12 @@ def empty_tables(spark: SparkSession, spec: PipelineSpec, tables: Tables) -> Non
 
 
 def register_views(
-    master: DataFrame, spec: PipelineSpec, prefix: str = "", hot_rows: int | None = None
+    master: DataFrame, spec: PipelineSpec, prefix: str = "", hot_rows: int | None = HOT_ROWS
 ) -> dict[str, DataFrame]:
     """Temp views over the master: all rows, latest version, change summary and log.
 
-    With ``hot_rows`` the change log looks for hot keys, once, now; without it is
-    a plain view.
+    The change log looks for hot keys now; register the views again after the
+    next ingest.
     """
     views = {
         "master": master,
