@@ -417,6 +417,12 @@ def _delivery_sql(extra: str = "", where: str = "TRUE", arrival_kept: bool = Fal
     UNION ALL SELECT {bare}{extra} {lines} WHERE l_returnflag <> 'R' AND {where}"""
 
 
+_FILE_COLUMNS = (
+    ", o_orderdate AS file_modified_at, 'site_data_' || lower(o_orderstatus) || '_' || "
+    "year(o_orderdate) || '.json' AS source_filename"
+)
+
+
 def _spec():
     return ds.delivery_spec(file_prefix="site_data")
 
@@ -437,6 +443,16 @@ def nested_ingest_variant(spark, sf_dir):
     return _content(ds.ingest_texts(docs, _spec(), "append", engine="variant"))
 
 
+@query(
+    f"""SELECT {", ".join(_DELIVERY_COLUMNS)}, source_filename, file_modified_at,
+        0 AS document_pos FROM ({_delivery_sql(_FILE_COLUMNS)})"""
+)
+def nested_ingest_provenance(spark, sf_dir):
+    spec = replace(_spec(), provenance=True)
+    rows = ds.ingest_texts(delivery_documents(spark, sf_dir), spec, "append")
+    return rows.drop(spec.order_col)
+
+
 @query(_delivery_sql(arrival_kept=True))
 def nested_ingest_setup_times(spark, sf_dir):
     spec = ds.delivery_spec("setup", "site_data")
@@ -451,10 +467,6 @@ def nested_ingest_offset_times(spark, sf_dir):
 
 _NATURAL_KEY = "ORDER_ID, LINE_ID, DOCKET_ID"
 _NOT_KEY = [c for c in _DELIVERY_COLUMNS if c not in ("ORDER_ID", "LINE_ID", "DOCKET_ID")]
-_FILE_COLUMNS = (
-    ", o_orderdate AS file_modified_at, 'site_data_' || lower(o_orderstatus) || '_' || "
-    "year(o_orderdate) || '.json' AS source_filename"
-)
 _ONE_PER_KEY = _newest(_NATURAL_KEY, ["source_filename", *_NOT_KEY], "file_modified_at")
 
 
@@ -491,7 +503,7 @@ def nested_ingest_merge(spark, sf_dir):
         {"LOADED_TIME": F.lit(None), "SITE_NAME": F.lit("OLD")}
     )
     master = scratch_path(spark, "master")
-    ds.write_table(old, master)
+    ds.write_table(ds.align_to_schema(old, _spec().master_schema()), master)
     old = ds.read_table(spark, master, _spec().master_schema())
     batch = docs.where(year >= 1998)
     return _content(ds.ingest_texts(batch, _spec(), "merge", master=old))
@@ -696,12 +708,13 @@ def parse_times(spark, sf_dir):
     FROM events"""
 )
 def convert_zone(spark, sf_dir):
-    local = table(spark, sf_dir, "events").select(
+    """Each column is computed from its sibling in the same selection."""
+    return table(spark, sf_dir, "events").select(
         "event_id",
         F.col("ts").alias("utc_ts"),
-        ds.convert_zone("ts", "UTC", "Asia/Hong_Kong").alias("local_ts"),
+        ds.convert_zone("utc_ts", "UTC", "Asia/Hong_Kong").alias("local_ts"),
+        ds.convert_zone("local_ts", "Asia/Hong_Kong", "UTC").alias("back_ts"),
     )
-    return local.withColumn("back_ts", ds.convert_zone("local_ts", "Asia/Hong_Kong", "UTC"))
 
 
 # --- upsert, schema, quality, filters -----------------------------------------------

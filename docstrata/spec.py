@@ -54,7 +54,10 @@ class FieldSpec:
 
 @dataclass(frozen=True)
 class PipelineSpec:
-    """Where the rows are in the document and which keys identify them."""
+    """Where the rows are in the document and which keys identify them.
+
+    ``provenance`` adds file name, file time and document position to the master.
+    """
 
     root: str
     levels: tuple[str, ...]
@@ -67,6 +70,7 @@ class PipelineSpec:
     zone: str = "Asia/Hong_Kong"
     name_regex: str = r"\.json$"
     name_glob: str = "*.json"
+    provenance: bool = False
 
     def __post_init__(self) -> None:
         names = [f.name for f in self.fields]
@@ -96,7 +100,14 @@ class PipelineSpec:
         schema = T.StructType()
         for f in self.fields:
             schema = schema.add(f.name, T.DataType.fromDDL(f.type), True)
-        return schema.add(self.order_col, T.TimestampNTZType(), False)
+        schema = schema.add(self.order_col, T.TimestampNTZType(), False)
+        if self.provenance:
+            schema = (
+                schema.add("source_filename", T.StringType())
+                .add("file_modified_at", T.TimestampNTZType())
+                .add("document_pos", T.IntegerType())
+            )
+        return schema
 
     def document_type(self) -> T.ArrayType:
         """Schema for reading the root array; times stay text for the safe parse."""
