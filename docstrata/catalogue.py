@@ -229,21 +229,32 @@ def changed_records_hot(spark, sf_dir):
     )
 
 
-@query(
-    """SELECT event_type, count(*) AS row_count, count(DISTINCT props) AS distinct_contents
-    FROM events WHERE user_id = 8 GROUP BY event_type"""
-)
+_PRINTS = """SELECT {key}, count(*) AS row_count, count(DISTINCT props) AS distinct_contents
+    FROM events {where} GROUP BY ALL"""
+
+
+def _count_contents(prints: DataFrame, *key: str) -> DataFrame:
+    return prints.groupBy(*key).agg(
+        F.count("*").alias("row_count"), F.count_distinct("row_hash").alias("distinct_contents")
+    )
+
+
+@query(_PRINTS.format(key="user_id", where="WHERE event_type = 'click'"))
 def fingerprint_drilldown(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
     prints = ds.fingerprints(
-        table(spark, sf_dir, "events"),
-        "user_id",
-        8,
-        exclude=["event_id", "ts", "value"],
-        show=["event_type"],
+        events, "event_type", "click", exclude=["event_id", "ts", "value"], show=["user_id"]
     )
-    return prints.groupBy("event_type").agg(
-        F.count("*").alias("row_count"), F.count_distinct("row_hash").alias("distinct_contents")
+    return _count_contents(prints, "user_id")
+
+
+@query(_PRINTS.format(key="user_id, event_type", where=""))
+def fingerprints(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    prints = ds.fingerprints(
+        events, "user_id", exclude=["event_id", "ts", "value"], show=["event_type"]
     )
+    return _count_contents(prints, "user_id", "event_type")
 
 
 @query(

@@ -83,15 +83,20 @@ def changed_records(
 def fingerprints(
     df: DataFrame,
     key: str,
-    value: object,
+    value: object = None,
     exclude: Sequence[str] = (),
     show: Sequence[str] = (),
 ) -> DataFrame:
-    """Fingerprint of every version of one key, with ``show`` columns left out of
-    it and displayed: are they all that changed?"""
+    """Fingerprint of every version, with the ``show`` columns left out of it and
+    displayed: are they all that changed?
+
+    For the one key ``value``, or for all keys, which then come first.
+    """
     ignored = {key, *exclude, *show, *ENGINE_COLUMNS}
-    versions = df.where(F.col(key) == F.lit(value))
-    return versions.select(row_hash(df, ignored).alias("row_hash"), *show)
+    content = row_hash(df, ignored).alias("row_hash")
+    if value is None:
+        return df.select(key, content, *show)
+    return df.where(F.col(key) == F.lit(value)).select(content, *show)
 
 
 def change_log(
