@@ -11,12 +11,12 @@ import docstrata as ds
 SCHEMA = "k int, v string, x int"
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_merge_upsert(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [-1, 10_000])
+def test_merge_upsert(spark, broadcast_bytes):
     target = [(1, "a", 1), (1, "b", 2), (2, "c", 3), (None, "d", 4)]
     source = [(1, "Z", None), (3, "n", 5), (None, "q", 6)]
     target, source = (spark.createDataFrame(r, SCHEMA) for r in (target, source))
-    merged = ds.merge_upsert(target, source, "k", broadcast_rows)
+    merged = ds.merge_upsert(target, source, "k", broadcast_bytes)
     expected = [
         (1, "Z", None),
         (1, "Z", None),
@@ -27,15 +27,27 @@ def test_merge_upsert(spark, broadcast_rows):
     ]
     assert sorted(map(tuple, merged.collect()), key=repr) == sorted(expected, key=repr)
     known = source.where("k IS NOT NULL")
-    once = ds.merge_upsert(target, known, "k", broadcast_rows)
-    assert same_rows(ds.merge_upsert(once, known, "k", broadcast_rows), once)
+    once = ds.merge_upsert(target, known, "k", broadcast_bytes)
+    assert same_rows(ds.merge_upsert(once, known, "k", broadcast_bytes), once)
 
 
 def test_merge_of_a_small_batch_does_not_shuffle_the_target(spark):
     target = spark.range(100_000).select("id", F.col("id").alias("v"))
     source = spark.range(99_990, 100_010).select("id", F.lit(-1).cast("long").alias("v"))
-    merged = ds.merge_upsert(target, source, "id")
-    assert merged.where("v = -1").count() == 20 and merged.count() == 100_010
+    automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {}
+        for limit in (10_000, -1):
+            merged = ds.merge_upsert(target, source, "id", broadcast_bytes=limit)
+            assert merged.where("v = -1").count() == 20 and merged.count() == 100_010
+            plans[limit] = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
+    update, _ = plans[10_000].split("LeftAnti")
+    assert "BroadcastHashJoin" in update and "hashpartitioning" not in update
+    update, _ = plans[-1].split("LeftAnti")
+    assert "BroadcastHashJoin" not in update and "LeftOuter" in update
 
 
 def test_merge_on_two_keys_with_a_hot_one(spark):
@@ -43,7 +55,7 @@ def test_merge_on_two_keys_with_a_hot_one(spark):
         F.lit("h").alias("a"), (F.col("id") % 2).alias("b"), F.col("id").alias("v")
     )
     source = spark.createDataFrame([("h", 1, -1), ("h", 2, -2)], "a string, b long, v long")
-    for limit in (0, 10):
+    for limit in (-1, 10_000):
         merged = ds.merge_upsert(target, source, ["a", "b"], limit)
         counts = {r["b"]: r["n"] for r in merged.groupBy("b").agg(F.count("*").alias("n")).collect()}
         assert counts == {0: 1500, 1: 1500, 2: 1}
