@@ -10,9 +10,10 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_point
+from docstrata import catalogue
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = catalogue.QUERIES
+SQL = catalogue.SQL
 
 
 @pytest.fixture(scope="module")
@@ -30,8 +31,10 @@ def canonical(columns, rows):
     return [columns[i] for i in order], sorted(texts, key=repr)
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
