@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import durable, pick
+from docstrata.llm.tables import Scratch, pick
 from docstrata.llm.words import Hasher, Words, alphanumeric, buffers, chunks
 
 WINDOW = 13
@@ -244,6 +244,7 @@ def contamination(
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
     merged = arrow_udf(_merged, "array<struct<first:bigint,last:bigint>>")
     blocks = max(1, -(-2 * chars // block_chars)) if chars > block_chars else 1
+    scratch = Scratch(spark, "contamination")
     out = docs
     for block in range(blocks):
         rows = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
@@ -254,7 +255,7 @@ def contamination(
         if not block:
             out = found.select(*docs.columns, "_found.n_words", "_found.spans", "_found.items")
             continue
-        out = durable(
+        out = scratch.write(
             found.withColumns(
                 {
                     "spans": merged("spans", "_found.spans"),

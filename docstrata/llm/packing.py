@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import durable, pick
+from docstrata.llm.tables import Scratch, pick
 
 CAPACITY = 2048
 END = 0
@@ -178,7 +178,8 @@ def pack(
     docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, group: int = GROUP
 ) -> DataFrame:
     """Where each piece goes: pieces() with sequence_id and offset."""
-    cut = durable(pieces(docs, capacity, tokenizer).withColumn("_row", F.monotonically_increasing_id()))
+    numbered = pieces(docs, capacity, tokenizer).withColumn("_row", F.monotonically_increasing_id())
+    cut = Scratch(docs.sparkSession, "pieces").write(numbered)
     groups = max(1, -(-cut.count() // group))
 
     def packed(rows: pa.Table) -> pa.Table:

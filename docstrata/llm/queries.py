@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docstrata.llm import decontaminate, packing
+from docstrata.llm import decontaminate, neardup, packing, substrings
 from docstrata.llm.tables import pick, reachable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,56 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_pack")
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op4_near_duplicates",
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+near AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM words UNION SELECT d, b FROM reach JOIN near ON r = a),
+component AS (SELECT d AS doc_id, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM component LEFT JOIN sizes USING (doc_id)
+""",
+)
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+@query(
+    "op5_substrings",
+    r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)),
+first AS (SELECT h, min(doc_id) AS m FROM windows GROUP BY 1),
+cut AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p
+  FROM windows JOIN first USING (h) WHERE m < doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM each ANTI JOIN cut USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept k USING (doc_id)
+""",
+)
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeated(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docstrata.sources.scratch import durable
+from docstrata.sources.scratch import durable, scratch_path
 
 BROADCAST_BYTES = 64 << 20
 
@@ -31,6 +31,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Scratch:
+    """Intermediate tables of one call, each written once below the shared folder and
+    read from there, so a lost executor costs at most the tasks it was running."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = scratch_path(spark, name)
+        self.written: list[tuple[DataFrame, str]] = []
+        self.count = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{self.count}"
+        self.count += 1
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.written.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing reads any more."""
+        for kept, path in list(self.written):
+            if any(kept is t for t in tables):
+                delete(self.spark, path)
+                self.written = [w for w in self.written if w[1] != path]
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        self.drop(*(t for t, _ in self.written if not any(t is k for k in tables)))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small_side(df: DataFrame, row_bytes: int | Column) -> DataFrame:
     """A checkpointed table as the side of a join: broadcast where its measured size
     is below the bound, shuffled like any other beyond it."""
@@ -39,4 +73,4 @@ def small_side(df: DataFrame, row_bytes: int | Column) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-__all__ = ["BROADCAST_BYTES", "durable", "pick", "reachable", "small_side", "table"]
+__all__ = ["BROADCAST_BYTES", "Scratch", "delete", "durable", "pick", "reachable", "small_side", "table"]
