@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docstrata.llm import decontaminate, neardup, packing, substrings
+from docstrata.llm import decontaminate, neardup, packing, quality, substrings
 from docstrata.llm.tables import pick, reachable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,15 @@ FROM words LEFT JOIN kept k USING (doc_id)
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeated(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    labels = pick(table(spark, sf_dir, "labels"), "doc_id", "quality")
+    return quality.train(docs, labels.where(~quality.held_out()))
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
+    scored = quality.score_documents(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
