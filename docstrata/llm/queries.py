@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docstrata.llm import decontaminate, neardup, packing, quality, substrings
+from docstrata.llm import decontaminate, neardup, packing, quality, substrings, warc
 from docstrata.llm.tables import pick, reachable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,28 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
     scored = quality.score_documents(docs, quality_model(spark, docs, sf_dir))
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query(
+    "op6_warc",
+    r"""
+WITH pages_ AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+digits AS (
+  SELECT page_id, html, octet_length(encode(html)) AS n, sha1(html) AS hex FROM pages_),
+bits AS (
+  SELECT page_id, html, n, hex, list_transform(range(0, 40), lambda i: ('0x' || substr(hex, i + 1, 1))::INT) AS q
+  FROM digits),
+coded AS (
+  SELECT page_id, html, n, array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((q[(5 * k) // 4 + 1] * 16 + coalesce(q[(5 * k) // 4 + 2], 0)) // (1 << (3 - (5 * k) % 4))) % 32, 1)), '') AS code
+  FROM bits),
+last AS (SELECT html, max(page_id) AS m FROM pages_ GROUP BY 1)
+SELECT page_id, n::BIGINT AS payload_bytes, code AS payload_digest,
+  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> m THEN m END AS refers_to
+FROM coded JOIN last USING (html)
+""",
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
