@@ -6,8 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docstrata.llm import decontaminate, neardup, packing, quality, substrings, warc
-from docstrata.llm.tables import pick, reachable, table
+from docstrata.llm import (
+    chat,
+    decontaminate,
+    licences,
+    neardup,
+    packing,
+    quality,
+    sharding,
+    substrings,
+    topk,
+    warc,
+)
+from docstrata.llm.tables import Scratch, pick, reachable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -161,3 +172,121 @@ FROM coded JOIN last USING (html)
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.archive(table(spark, sf_dir, "pages"))
     return warc.read(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SHARDS = [f"shard-{n:02d}" for n in range(16)]
+
+
+def _sharding_sql() -> str:
+    size, count = sharding.TABLE_SIZE, len(SHARDS)
+    names = ", ".join(f"({n}, '{s}')" for n, s in enumerate(SHARDS))
+    number = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+    return f"""
+WITH RECURSIVE names(n, shard) AS (VALUES {names}),
+shards AS (
+  SELECT n, shard, {number.format("shard || '/offset'")} % {size} AS a,
+    {number.format("shard || '/skip'")} % {size - 1} + 1 AS skip FROM names),
+orders AS (
+  SELECT n, list((a + j * skip) % {size} ORDER BY j) AS slots
+  FROM shards, range({size}) AS t(j) GROUP BY n),
+fill AS (
+  SELECT 0 AS turn, list_transform(range({size}), lambda x: -1) AS taken, NULL::BIGINT AS slot, NULL::BIGINT AS n
+  UNION ALL
+  SELECT turn + 1, taken[:s] || [n] || taken[s + 2:], s, n FROM (
+    SELECT turn, taken, o.n, list_filter(o.slots, lambda x: taken[x + 1] < 0)[1] AS s
+    FROM fill JOIN orders o ON o.n = turn % {count} WHERE turn < {size})),
+lookup AS (SELECT slot, shard FROM fill JOIN names USING (n))
+SELECT doc_id, slot, shard FROM (
+  SELECT doc_id, {number.format("coalesce(doc_id::VARCHAR, '')")} % {size} AS slot FROM documents)
+JOIN lookup USING (slot)
+"""
+
+
+@query("op7_sharding", _sharding_sql())
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id")
+    return sharding.place(docs, F.col("doc_id"), SHARDS)
+
+
+@query(
+    "op8_chat",
+    r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  sum(CASE WHEN role IN ('system', 'user', 'assistant') THEN length(role)
+    ELSE 1 + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) END
+    + length('### : ') + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) + length(' </turn>') + 1
+  )::BIGINT AS formatted_chars
+FROM rows_ GROUP BY conv_id
+""",
+)
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    segments = chat.format_conversations(conversations.unionByName(planted))
+    written = Scratch(spark, "chat").write(segments)
+    return chat.read_digests(written).drop("valid")
+
+
+@query(
+    "op9_topk",
+    """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+)
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def _licence_sql() -> str:
+    def canonical(text: str) -> str:
+        out = f"translate(coalesce({text}, ''), '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
+        out = f"regexp_replace({out}, '{licences.COPYRIGHT_LINE}', ' ', 'g')"
+        out = f"' ' || trim(regexp_replace({out}, '{licences.BETWEEN_WORDS}', ' ', 'g')) || ' '"
+        for other, kept in licences.SPELLINGS:
+            out = f"replace({out}, ' {other} ', ' {kept} ')"
+        return f"trim({out})"
+
+    quoted = [(n.replace("'", "''"), t.replace("'", "''")) for n, t in licences.known_texts()]
+    known = ", ".join(f"('{n}', '{t}')" for n, t in quoted)
+    return f"""
+WITH texts(licence, text) AS (VALUES {known}),
+known AS (
+  SELECT sha256(c) AS digest, min(licence) AS licence
+  FROM (SELECT licence, {canonical("text")} AS c FROM texts) WHERE c <> '' GROUP BY 1),
+whole AS (
+  SELECT doc_id, CASE WHEN c <> '' THEN sha256(c) END AS digest
+  FROM (SELECT doc_id, {canonical("text")} AS c FROM documents)),
+lines AS (
+  SELECT doc_id, sha256({canonical("line")}) AS digest
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+notices AS (
+  SELECT doc_id, list_sort(list(DISTINCT licence)) AS n FROM lines JOIN known USING (digest) GROUP BY 1)
+SELECT doc_id, w.digest, licence, coalesce(array_to_string(n, ';'), '') AS notices
+FROM whole w LEFT JOIN known USING (digest) LEFT JOIN notices USING (doc_id)
+"""
+
+
+@query("op10_licences", _licence_sql())
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("notices", F.array_join("notices", ";"))
