@@ -1,19 +1,73 @@
-"""The stages that turn documents into packed training sequences."""
+"""The stages that turn documents into packed training sequences.
+
+Each stage reads what the one before it wrote. All but the last return the columns of
+their input; the last returns where every piece of every document goes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docstrata.llm import decontaminate, neardup, packing, quality, queries, substrings
+from docstrata.llm.tables import reachable, table
 from docstrata.sources.scratch import scratch_path
 
-STAGES = []
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, trained on those at hand, does not reject."""
+    reachable(spark)
+    model = queries.quality_model(spark, docs, sf_dir)
+    return quality.score_documents(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    reachable(spark)
+    return neardup.representatives(docs, words=2)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that a smaller document has; those that lose nothing
+    stay as they are, those that lose all words go."""
+    reachable(spark)
+    left = substrings.remove_repeated(docs)
+    left = left.where("n_removed = 0 OR n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    left = left.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark items cover less than a twentieth."""
+    reachable(spark)
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes."""
+    reachable(spark)
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", good),
+    ("MinHash near-dedup", distinct),
+    ("substring dedup", unrepeated),
+    ("benchmark decontamination", uncontaminated),
+    ("best-fit packing", packed),
+]
+#: The quality model and the tokenizer are beyond SQL; the tests hold the stages
+#: against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        path = scratch_path(spark, f"pipeline-{number}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
