@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import Scratch, pick
+from docstrata.llm.tables import Scratch, disclose, enclose, inner, pick
 from docstrata.llm.words import Hasher, Words, alphanumeric, buffers, chunks
 
 WINDOW = 13
@@ -238,30 +238,38 @@ def contamination(
 ) -> DataFrame:
     """``docs`` with the columns n_words, spans (of word numbers, last excluded) and
     items (the ids of the items with an occurring window, as sorted strings)."""
-    spark = docs.sparkSession
+    rows, names = enclose(docs)
+    found = _contamination(rows, inner(names, "text"), items, window, block_chars)
+    return disclose(found, names, "n_words", "spans", "items")
+
+
+def _contamination(
+    rows: DataFrame, text: str, items: DataFrame, window: int, block_chars: int = BLOCK_CHARS
+) -> DataFrame:
+    spark = rows.sparkSession
     known = pick(items, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     known = known.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
     merged = arrow_udf(_merged, "array<struct<first:bigint,last:bigint>>")
     blocks = max(1, -(-2 * chars // block_chars)) if chars > block_chars else 1
     scratch = Scratch(spark, "contamination")
-    out = docs
+    own, out = rows.columns, rows
     for block in range(blocks):
-        rows = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
+        dealt = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
         matcher = spark.sparkContext.broadcast(
-            Matcher(sorted((r["item_id"], r["text"]) for r in rows), window)
+            Matcher(sorted((r["item_id"], r["text"]) for r in dealt), window)
         )
-        found = out.withColumn("_found", finder(matcher)("text"))
+        found = out.withColumn("found", finder(matcher)(text))
         if not block:
-            out = found.select(*docs.columns, "_found.n_words", "_found.spans", "_found.items")
+            out = found.select(*own, "found.n_words", "found.spans", "found.items")
             continue
         out = scratch.write(
             found.withColumns(
                 {
-                    "spans": merged("spans", "_found.spans"),
-                    "items": F.array_sort(F.array_union("items", "_found.items")),
+                    "spans": merged("spans", "found.spans"),
+                    "items": F.array_sort(F.array_union("items", "found.items")),
                 }
-            ).drop("_found")
+            ).drop("found")
         )
     return out
 
@@ -302,12 +310,10 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without those the items cover by 1 / ``coverage`` or more; from the
     rest, spans of more than ``longest_span`` words are cut out (None: left alone)."""
-    names = docs.columns
-    found = contamination(docs, items, window).where(~is_contaminated(coverage))
+    rows, names = enclose(docs)
+    text = inner(names, "text")
+    found = _contamination(rows, text, items, window).where(~is_contaminated(coverage))
     if longest_span is not None:
-        without = arrow_udf(_without, "string")
         long = F.filter("spans", lambda s: s["last"] - s["first"] > longest_span)
-        found = found.withColumn("text", without("text", long))
-    return found.select(*names)
-
-
+        found = found.withColumn(text, arrow_udf(_without, "string")(text, long))
+    return disclose(found, names)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import Scratch, pick, small_side
+from docstrata.llm.tables import Scratch, disclose, enclose, inner, pick, small_side
 from docstrata.llm.words import Hasher, Spans, Words, buffers, chunks, mix, not_space, signed, stream
 
 WORDS = 5
@@ -280,5 +280,7 @@ def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """``docs`` without the documents that are not the first of their component."""
     found = near_duplicates(docs, words, percent)
     gone = Scratch(docs.sparkSession, "copies").write(found.where(~F.col("kept")).select("doc_id").distinct())
-    gone = small_side(gone, 8).withColumnRenamed("doc_id", "_copy")
-    return docs.join(gone, F.col("doc_id") == F.col("_copy"), "left_anti")
+    rows, names = enclose(docs)
+    doc = inner(names, "doc_id")
+    gone = small_side(gone.withColumnRenamed("doc_id", doc), 8)
+    return disclose(rows.join(gone, doc, "left_anti"), names)

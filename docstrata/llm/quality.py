@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import pick
+from docstrata.llm.tables import disclose, enclose, inner, pick
 from docstrata.llm.words import Hasher, Spans, Words, buffers, chunks, mix, not_space
 
 PER_CLASS = 2000
@@ -338,13 +338,18 @@ def line_quality(model):
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with score (0 to 1) and predicted (1 from 0.5 on)."""
+    rows, names = enclose(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = docs.withColumn("_score", quality_score(shared)("text"))
-    return scored.select(
-        *docs.columns,
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
-    )
+    scored = rows.withColumn("score", quality_score(shared)(inner(names, "text")))
+    scored = scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return disclose(scored, names, "score", "predicted")
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without those whose score is below 0.5."""
+    rows, names = enclose(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return disclose(rows.where(quality_score(shared)(inner(names, "text")) >= 0.5), names)
 
 
 def held_out(column: str = "doc_id"):

@@ -204,8 +204,7 @@ JOIN lookup USING (slot)
 
 @query("op7_sharding", _sharding_sql())
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = pick(table(spark, sf_dir, "documents"), "doc_id")
-    return sharding.place(docs, F.col("doc_id"), SHARDS)
+    return sharding.place(pick(table(spark, sf_dir, "documents"), "doc_id"), "doc_id", SHARDS)
 
 
 @query(

@@ -17,6 +17,8 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docstrata.llm.tables import disclose, enclose, inner
+
 TABLE_SIZE = 4099
 LARGEST_TABLE = 1 << 20
 
@@ -62,11 +64,9 @@ def slot_of(key: Column, table_size: int = TABLE_SIZE) -> Column:
     return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(table_size).cast("long"))
 
 
-def place(df: DataFrame, key: Column, shards: list[str], table_size: int = TABLE_SIZE) -> DataFrame:
-    """``df`` with slot and shard."""
+def place(df: DataFrame, key: str, shards: list[str], table_size: int = TABLE_SIZE) -> DataFrame:
+    """``df`` with slot and shard, by its column ``key``."""
+    rows, names = enclose(df)
+    rows = rows.withColumn("slot", slot_of(F.col(inner(names, key)), table_size))
     table = lookup_table(df.sparkSession, shards, table_size)
-    table = table.select(F.col("slot").alias("_slot"), F.col("shard").alias("_shard"))
-    slot = slot_of(key, table_size)
-    return df.join(F.broadcast(table), slot == F.col("_slot")).select(
-        *(df[c] for c in df.columns), F.col("_slot").alias("slot"), F.col("_shard").alias("shard")
-    )
+    return disclose(rows.join(F.broadcast(table), "slot"), names, "slot", "shard")

@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import Scratch, pick, small_side
+from docstrata.llm.tables import Scratch, disclose, enclose, inner, pick, small_side
 from docstrata.llm.words import Hasher, Spans, Words, buffers, chunks, mix, not_space, signed, stream
 
 WINDOW = 50
@@ -89,19 +89,15 @@ class Symbols:
         self.row = self.row[heads]
 
     def name_runs(self, longest: int, seed: int) -> None:
-        """Runs of up to ``longest`` equal symbols get one name."""
-        if len(self) < 2:
+        """Runs of up to ``longest`` equal symbols get one name. Where a run begins and
+        ends, also one of a single symbol, depends on the symbols around it."""
+        if not len(self):
             return
         equal = (self.names[1:] == self.names[:-1]) & self._same_row()
-        if not equal.any():
-            return
         heads = np.flatnonzero(np.concatenate([[True], ~equal]))
         sizes = np.diff(np.append(heads, len(self)))
-        low, high = self._outer_low()[heads], self._outer_high()[heads + sizes - 1]
         of = np.repeat(np.arange(len(heads)), sizes)
-        run = sizes[of] > 1
-        self.low = np.where(run, low[of], self.low)
-        self.high = np.where(run, high[of], self.high)
+        self.low, self.high = self._outer_low()[heads][of], self._outer_high()[heads + sizes - 1][of]
         short = sizes <= longest
         heads = np.flatnonzero(~short[of] | np.concatenate([[True], ~equal]))
         sizes = np.diff(np.append(heads, len(self)))
@@ -112,7 +108,7 @@ class Symbols:
     def name_pairs(self, longest: int, seed: int) -> None:
         """A left symbol and the right one after it get one name, of at most
         ``longest`` words."""
-        if len(self) < 2:
+        if not len(self):
             return
         left = (mix(self.names ^ np.uint64(seed)) & np.uint64(1)).astype(bool)
         size = self.end - self.start
@@ -319,19 +315,33 @@ def _identified(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with n_words, n_removed and kept (the words left, joined by one space)."""
+def _cut(docs: DataFrame, window: int, rounds: int) -> tuple[DataFrame, list[str]]:
+    """Enclosed rows with n_words, n_removed and kept."""
     entries = F.expr("16 + 24 * size(cuts) + 4 * aggregate(cuts, 0, (n, c) -> n + greatest(size(c.at), 0))")
     cuts = small_side(repeated(docs, window, rounds), entries)
-    cuts = cuts.select(F.col("doc").alias("_doc"), F.col("t").alias("_t"), F.col("cuts").alias("_cuts"))
-    own = (F.coalesce(_column(docs, "doc_id"), F.lit(_LAST)) == F.col("_doc")) & (
-        F.xxhash64(_column(docs, "text")) == F.col("_t")
-    )
-    joined = docs.join(cuts, own, "left")
-    return joined.withColumn("_left", _remove(window)("text", "_cuts")).select(
-        *(joined[c] for c in docs.columns), "_left.n_words", "_left.n_removed", "_left.kept"
-    )
+    rows, names = enclose(docs)
+    doc, text = inner(names, "doc_id"), inner(names, "text")
+    own = (F.coalesce(doc, F.lit(_LAST)) == F.col("doc")) & (F.xxhash64(text) == F.col("t"))
+    joined = rows.join(cuts, own, "left").withColumn("left", _remove(window)(text, "cuts"))
+    return joined.select(*rows.columns, "left.n_words", "left.n_removed", "left.kept"), names
 
 
-def _column(docs: DataFrame, name: str) -> Column:
-    return docs[name]
+def remove_repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+    """``docs`` with n_words, n_removed and kept (the words left, joined by one space)."""
+    rows, names = _cut(docs, window, rounds)
+    return disclose(rows, names, "n_words", "n_removed", "kept")
+
+
+def deduplicate(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+    """``docs`` without repeated passages; texts that lose nothing stay as they are,
+    documents that lose all words go, and n_chars, where there is one, follows."""
+    rows, names = _cut(docs, window, rounds)
+    rows = rows.where("n_removed = 0 OR n_removed < n_words")
+    lost = F.col("n_removed") > 0
+    if "n_chars" in names:
+        chars = inner(names, "n_chars")
+        size = F.length("kept").cast(rows.schema[chars].dataType)
+        rows = rows.withColumn(chars, F.when(lost, size).otherwise(F.col(chars)))
+    text = inner(names, "text")
+    rows = rows.withColumn(text, F.when(lost, F.col("kept")).otherwise(F.col(text)))
+    return disclose(rows, names)

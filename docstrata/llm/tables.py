@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docstrata.sources.scratch import durable, scratch_path
+from docstrata.sources.scratch import scratch_path
 
 BROADCAST_BYTES = 64 << 20
 
@@ -27,6 +27,25 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*(F.col(f"_{df.columns.index(n)}").alias(n) for n in names))
 
 
+def enclose(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The table with its columns renamed by position (``_0``, ``_1``, ...), so that no
+    name of its own can clash with those an operator adds, and the names."""
+    return df.toDF(*(f"_{i}" for i in range(len(df.columns)))), df.columns
+
+
+def inner(names: list[str], name: str) -> str:
+    """What ``enclose`` calls a column."""
+    return f"_{names.index(name)}"
+
+
+def disclose(df: DataFrame, names: list[str], *results: str) -> DataFrame:
+    """The columns under their own names again, and results after them; a column of
+    the input with the name of a result gives way to it."""
+    new = {r.lower() for r in results}
+    kept = [F.col(f"_{i}").alias(n) for i, n in enumerate(names) if n.lower() not in new]
+    return df.select(*kept, *results)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,4 +92,15 @@ def small_side(df: DataFrame, row_bytes: int | Column) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-__all__ = ["BROADCAST_BYTES", "Scratch", "delete", "durable", "pick", "reachable", "small_side", "table"]
+__all__ = [
+    "BROADCAST_BYTES",
+    "Scratch",
+    "delete",
+    "disclose",
+    "enclose",
+    "inner",
+    "pick",
+    "reachable",
+    "small_side",
+    "table",
+]
