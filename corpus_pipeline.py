@@ -6,7 +6,7 @@ their input; the last returns where every piece of every document goes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from docstrata.llm import decontaminate, neardup, packing, quality, queries, substrings
 from docstrata.llm.tables import reachable, table
@@ -17,7 +17,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model, trained on those at hand, does not reject."""
     reachable(spark)
     model = queries.quality_model(spark, docs, sf_dir)
-    return quality.score_documents(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +30,7 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that a smaller document has; those that lose nothing
     stay as they are, those that lose all words go."""
     reachable(spark)
-    left = substrings.remove_repeated(docs)
-    left = left.where("n_removed = 0 OR n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    left = left.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        left = left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    return substrings.deduplicate(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
