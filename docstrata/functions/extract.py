@@ -27,11 +27,15 @@ def final_value(leaf: Column, field: FieldSpec) -> Column:
     return F.when(value.isNotNull() | leaf.isNull(), value).otherwise(F.raise_error(message))
 
 
-def path_value(value: Column, field: FieldSpec) -> Column:
-    """The value of ``field`` inside a variant; missing or JSON null gives NULL."""
+def leaf_value(value: Column, field: FieldSpec, path: str = "$") -> Column:
+    """The value of ``field`` at a path of a variant; missing or JSON null gives NULL."""
     get = F.variant_get if field.strict else F.try_variant_get
-    leaf = get(value, "$." + field.path, field.leaf_type.simpleString())
-    return final_value(leaf, field)
+    return final_value(get(value, path, field.leaf_type.simpleString()), field)
+
+
+def path_value(value: Column, field: FieldSpec) -> Column:
+    """The value of ``field`` inside the variant of its element."""
+    return leaf_value(value, field, "$." + field.path)
 
 
 def extract(

@@ -8,6 +8,8 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+
 
 def parse_time(
     text: Column,
@@ -19,13 +21,14 @@ def parse_time(
 
     ``timestamp_ntz`` keeps the wall clock and ignores an offset in the text;
     ``timestamp`` gives the instant.  A text equal to one of ``sentinels`` is
-    NULL; the comparison is exact and made before the offset is appended.
+    NULL; the comparison is exact and made before the offset is appended.  A text
+    without a date is no time: the cast would take today's.
     """
     for s in sentinels:
         text = F.nullif(text, F.lit(s))
     if assume_offset:
         text = F.concat(text, F.lit(assume_offset))
-    return text.try_cast(type)
+    return F.when(text.rlike(_DATE), text).try_cast(type)
 
 
 def convert_zone(col: Column | str, source: str, target: str) -> Column:

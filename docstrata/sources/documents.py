@@ -1,8 +1,9 @@
 """From raw texts to documents and flat rows.
 
 Two routes give the same rows.  ``typed`` parses each document once against the
-schema the spec declares and only materialises the declared leaves.  ``variant``
-keeps the whole semi-structured value, for paths nobody declared in advance.
+structure the spec declares and only materialises the declared leaves.  ``variant``
+keeps the whole semi-structured value, for paths nobody declared in advance.  Both
+hand their leaves to the same cast.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from docstrata.functions.extract import final_value, path_value
+from docstrata.functions.extract import leaf_value, path_value
 from docstrata.operators.flatten import flatten
 from docstrata.sources.files import read_raw
 from docstrata.spec import FieldSpec, PipelineSpec
@@ -19,18 +20,46 @@ from docstrata.spec import FieldSpec, PipelineSpec
 ON_ERROR = ("abort", "quarantine")
 ENGINES = ("typed", "variant")
 _CORRUPT = "_corrupt"
+_END = "_end"
 
 
-def _as_array(text: Column) -> Column:
-    """JSON text as an array of documents: a single object gets brackets.
+def _clean(text: Column) -> Column:
+    """Without a byte order mark."""
+    return F.regexp_replace(text, "^\\x{FEFF}", "")
 
-    The brackets also make trailing content an error; a reader handed the bare
-    text would stop after the first object and lose the rest.
+
+def _wrapped(text: Column) -> Column:
+    """The text as an object: its documents as the array ``d``, and a mark after them.
+
+    A single document gets brackets.  Readers stop after the first complete value;
+    if the text holds more than one, the mark, which no text can hold, is not read.
     """
-    body = F.when(F.ltrim(text).startswith("["), text).otherwise(
+    body = F.when(text.rlike(r"^[ \t\r\n]*\["), text).otherwise(
         F.concat(F.lit("["), text, F.lit("]"))
     )
-    return F.concat(F.lit('{"d":'), body, F.lit("}"))
+    return F.concat(F.lit('{"d":'), body, F.lit(f',"{_END}":"'), F.md5(text), F.lit('"}'))
+
+
+def _variant_documents(text: Column, on_error: str) -> Column:
+    """The array of documents of a text as a variant.
+
+    Text that is not JSON, that goes on after its documents or has one that is neither
+    an object nor null, raises, or gives NULL under ``quarantine``.
+    """
+    text = _clean(text)
+    parsed = (F.parse_json if on_error == "abort" else F.try_parse_json)(_wrapped(text))
+    whole = F.try_variant_get(parsed, f"$.{_END}", "string") == F.md5(text)
+    items = F.try_variant_get(parsed, "$.d", "array<variant>")
+    objects = F.forall(
+        items,
+        lambda i: F.is_variant_null(i) | F.try_variant_get(i, "$", "map<string,variant>").isNotNull(),
+    )
+    good = F.coalesce(whole & objects, F.lit(False))
+    documents = F.when(good, F.variant_get(parsed, "$.d", "variant"))
+    if on_error == "abort":
+        message = F.concat(F.lit("MALFORMED_RECORD: not a document or array of documents: "), F.left(text, F.lit(200)))
+        documents = documents.when(text.isNotNull(), F.raise_error(message).cast("variant"))
+    return documents
 
 
 def parse_documents(raw: DataFrame, root: str, on_error: str = "abort") -> DataFrame:
@@ -41,8 +70,7 @@ def parse_documents(raw: DataFrame, root: str, on_error: str = "abort") -> DataF
     leaves it out, see :func:`rejected_documents`.
     """
     _check(on_error, ON_ERROR)
-    parse = F.parse_json if on_error == "abort" else F.try_parse_json
-    documents = F.variant_get(parse(_as_array(F.col("text"))), "$.d", "variant")
+    documents = _variant_documents(F.col("text"), on_error)
     rows = flatten(
         raw.withColumn("_documents", documents).drop("text"), "_documents", "_document"
     )
@@ -70,8 +98,9 @@ def load_documents(
 
 
 def rejected_documents(raw: DataFrame) -> DataFrame:
-    """The raw rows whose text is not one JSON document (or array of them)."""
-    return raw.where(F.try_parse_json(_as_array(F.col("text"))).isNull())
+    """The raw rows whose text is not one JSON object (or array of them)."""
+    documents = _variant_documents(F.col("text"), "quarantine")
+    return raw.where(F.col("text").isNull() | documents.isNull())
 
 
 def flatten_documents(
@@ -98,45 +127,45 @@ def parsed_texts(raw: DataFrame, spec: PipelineSpec, on_error: str = "abort") ->
     A malformed text raises, or gives NULL under ``quarantine``; no text, no
     documents.
 
-    A document that disagrees with the spec anywhere (a scalar where an array
-    is declared, text in a number) is read again through its variant, because
-    the schema reader gives up on everything around the odd spot.
+    A document whose structure disagrees with the spec anywhere (a scalar where an
+    array is declared) is read again through its variant, because the schema reader
+    gives up on everything around the odd spot.  Leaves are variants either way.
     """
-    document = T.StructType([T.StructField(spec.root, spec.document_type())])
-    documents = T.ArrayType(document)
-    schema = T.StructType([T.StructField("d", documents), T.StructField(_CORRUPT, T.StringType())])
+    documents = T.ArrayType(T.StructType([T.StructField(spec.root, spec.document_type())]))
+    schema = (
+        T.StructType()
+        .add("d", documents)
+        .add(_END, T.StringType())
+        .add(_CORRUPT, T.StringType())
+    )
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _CORRUPT,
         "allowSingleQuotes": "false",
+        "allowNonNumericNumbers": "false",
     }
-    text = _as_array(F.col("text"))
-    parse = F.parse_json if on_error == "abort" else F.try_parse_json
-    odd = _typed_variant(parse(text), "$.d", documents)
-    docs = F.when(F.col("_parsed")[_CORRUPT].isNull(), F.col("_parsed")["d"]).otherwise(odd)
+    text = _clean(F.col("text"))
+    parsed = F.col("_parsed")
+    good = parsed[_CORRUPT].isNull() & (parsed[_END] == F.md5(text))
+    odd = _typed_variant(_variant_documents(F.col("text"), on_error), "$", documents)
+    docs = F.when(good, parsed["d"]).otherwise(odd)
     return (
-        raw.withColumn("_parsed", F.from_json(text, schema, options))
+        raw.withColumn("_parsed", F.from_json(_wrapped(text), schema, options))
         .withColumn("_docs", docs)
         .drop("_parsed")
     )
 
 
-def _typed_variant(value: Column, path: str, kind: T.DataType, strict: bool = True) -> Column:
+def _typed_variant(value: Column, path: str, kind: T.DataType) -> Column:
     """The value at ``path`` in the declared shape; structure that differs is NULL."""
     if isinstance(kind, T.ArrayType):
         items = F.try_variant_get(value, path, "array<variant>")
         return F.transform(items, lambda item: _typed_variant(item, "$", kind.elementType))
     if isinstance(kind, T.StructType):
         return F.struct(
-            *(
-                _typed_variant(
-                    value, f"{path}.{f.name}", f.dataType, f.metadata.get("strict", True)
-                ).alias(f.name)
-                for f in kind
-            )
+            *(_typed_variant(value, f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind)
         )
-    get = F.variant_get if strict else F.try_variant_get
-    return get(value, path, kind.simpleString())
+    return F.variant_get(value, path, kind.simpleString())
 
 
 def rows_of_parsed(parsed: DataFrame, spec: PipelineSpec) -> DataFrame:
@@ -147,41 +176,49 @@ def rows_of_parsed(parsed: DataFrame, spec: PipelineSpec) -> DataFrame:
     rows = parsed.select(*kept, F.posexplode_outer("_docs").alias("document_pos", "_document"))
     rows = rows.where(F.col("document_pos").isNotNull())
     kept.append("document_pos")
-    rows = rows.select(*kept, F.explode(F.col("_document")[spec.root]).alias("_e0"))
+    rows = rows.select(*kept, F.posexplode(F.col("_document")[spec.root]).alias("_p0", "_e0"))
     for level in range(len(spec.levels) + 1):
         fields = spec.at_level(level)
         element = F.col(f"_e{level}")
-        done = [final_value(_leaf(element, f), f).alias(f.name) for f in fields]
+        kept.append(f"_p{level}")
+        done = [leaf_value(_leaf(element, f), f).alias(f.name) for f in fields]
         nested = []
         if level < len(spec.levels):
             nested = [_at(element, spec.levels[level].split(".")).alias("_nested")]
         rows = rows.select(*kept, *done, *nested)
         kept += [f.name for f in fields]
         if nested:
-            rows = rows.select(*kept, F.explode("_nested").alias(f"_e{level + 1}"))
-    return rows.select(*_engine_first(rows, spec), *(f.name for f in spec.fields))
+            deeper = F.posexplode("_nested").alias(f"_p{level + 1}", f"_e{level + 1}")
+            rows = rows.select(*kept, deeper)
+    return _ordered(rows, spec)
 
 
 def _flatten_variant(landing: DataFrame, spec: PipelineSpec) -> DataFrame:
     kept = [c for c in landing.columns if c != "payload"]
-    rows = flatten(landing, "payload", "_e0", positions=False)
+    rows = flatten(landing, "payload", "_e0").withColumnRenamed("_e0_pos", "_p0")
     for level in range(len(spec.levels) + 1):
         fields = spec.at_level(level)
         element = F.col(f"_e{level}")
+        kept.append(f"_p{level}")
         done = [path_value(element, f).alias(f.name) for f in fields]
         if level < len(spec.levels):
             nested = F.variant_get(element, "$." + spec.levels[level], "variant")
             rows = rows.select(*kept, *done, nested.alias("_nested"))
-            rows = flatten(rows, "_nested", f"_e{level + 1}", positions=False)
+            rows = flatten(rows, "_nested", f"_e{level + 1}")
+            rows = rows.withColumnRenamed(f"_e{level + 1}_pos", f"_p{level + 1}")
         else:
             rows = rows.select(*kept, *done)
         kept += [f.name for f in fields]
-    return rows.select(*_engine_first(rows, spec), *(f.name for f in spec.fields))
+    return _ordered(rows, spec)
 
 
-def _engine_first(rows: DataFrame, spec: PipelineSpec) -> list[str]:
+def _ordered(rows: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Origin first, with the positions of the elements as one column, then the fields."""
+    places = [f"_p{level}" for level in range(len(spec.levels) + 1)]
     declared = {f.name for f in spec.fields}
-    return [c for c in rows.columns if c not in declared]
+    origin = [c for c in rows.columns if c not in declared and c not in places]
+    place = F.array(*(F.coalesce(p, F.lit(0)) for p in places)).alias("element_pos")
+    return rows.select(*origin, place, *(f.name for f in spec.fields))
 
 
 def _leaf(element: Column, field: FieldSpec) -> Column:

@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 ENGINE_COLUMNS = (
     "source_filename",
     "file_modified_at",
+    "source_path",
+    "block_start",
+    "line_pos",
     "document_pos",
+    "element_pos",
     "batch_id",
-    "order_day",
-    "generation",
 )
 
 TIMESTAMP_TYPES = ("timestamp_ntz", "timestamp")
@@ -56,7 +58,8 @@ class FieldSpec:
 class PipelineSpec:
     """Where the rows are in the document and which keys identify them.
 
-    ``provenance`` adds file name, file time and document position to the master.
+    ``provenance`` adds file name, file time, line, and the positions of the document
+    in its array and of the elements in theirs to the master.
     """
 
     root: str
@@ -105,24 +108,27 @@ class PipelineSpec:
             schema = (
                 schema.add("source_filename", T.StringType())
                 .add("file_modified_at", T.TimestampNTZType())
+                .add("line_pos", T.LongType())
                 .add("document_pos", T.IntegerType())
+                .add("element_pos", T.ArrayType(T.IntegerType(), False))
             )
         return schema
 
     def document_type(self) -> T.ArrayType:
-        """Schema for reading the root array; times stay text for the safe parse."""
+        """Schema for reading the root array; leaves stay semi-structured, so that one
+        cast decides over them, whichever way the document was parsed."""
         element: T.StructType | None = None
         for level in range(len(self.levels), -1, -1):
             tree: dict = {}
             for f in self.at_level(level):
-                _plant(tree, f.path.split("."), (f.leaf_type, {"strict": f.strict}))
+                _plant(tree, f.path.split("."), T.VariantType())
             if element is not None:
-                _plant(tree, self.levels[level].split("."), (T.ArrayType(element), {}))
+                _plant(tree, self.levels[level].split("."), T.ArrayType(element))
             element = _as_struct(tree)
         return T.ArrayType(element)
 
 
-def _plant(tree: dict, path: Sequence[str], leaf: tuple[T.DataType, dict]) -> None:
+def _plant(tree: dict, path: Sequence[str], leaf: T.DataType) -> None:
     *parents, last = path
     for name in parents:
         tree = tree.setdefault(name, {})
@@ -130,11 +136,12 @@ def _plant(tree: dict, path: Sequence[str], leaf: tuple[T.DataType, dict]) -> No
 
 
 def _as_struct(tree: dict) -> T.StructType:
-    fields = []
-    for name, node in tree.items():
-        kind, metadata = (_as_struct(node), {}) if isinstance(node, dict) else node
-        fields.append(T.StructField(name, kind, True, metadata))
-    return T.StructType(fields)
+    return T.StructType(
+        [
+            T.StructField(name, _as_struct(node) if isinstance(node, dict) else node)
+            for name, node in tree.items()
+        ]
+    )
 
 
 # --- the delivery-docket pipeline ------------------------------------------
