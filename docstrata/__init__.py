@@ -21,11 +21,19 @@ from docstrata.operators.quality import (
 )
 from docstrata.operators.upsert import align_to_schema, merge_upsert
 from docstrata.operators.versions import number_versions
-from docstrata.plans.pipeline import ingest, ingest_texts, rebuild, register_views
+from docstrata.plans.pipeline import (
+    commit_batch,
+    compact,
+    ingest,
+    ingest_texts,
+    rebuild,
+    register_views,
+)
 from docstrata.sources.documents import flatten_documents, load_documents, rejected_documents
 from docstrata.sources.files import discover_files, read_raw
 from docstrata.sources.tables import (
     Tables,
+    read_archived,
     read_audit,
     read_master,
     read_rejects,
@@ -44,6 +52,8 @@ __all__ = [
     "change_summary",
     "changed_records",
     "columns_except",
+    "commit_batch",
+    "compact",
     "convert_zone",
     "delivery_spec",
     "discover_files",
@@ -67,6 +77,7 @@ __all__ = [
     "number_versions",
     "parse_time",
     "preview",
+    "read_archived",
     "read_audit",
     "read_master",
     "read_raw",

@@ -7,6 +7,7 @@ documents build them from ``orders`` and ``lineitem``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import docstrata as ds
 from docstrata.sources.scratch import scratch_path
+from docstrata.sources.tables import delete, move
 from docstrata.spec import NOT_YET
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -455,13 +457,64 @@ def nested_ingest_variant(spark, sf_dir):
 
 
 @query(
-    f"""SELECT {", ".join(_DELIVERY_COLUMNS)}, source_filename, file_modified_at,
-        0 AS document_pos FROM ({_delivery_sql(_FILE_COLUMNS)})"""
+    f"""SELECT {", ".join(_DELIVERY_COLUMNS)}, source_filename, file_modified_at, 0 AS line_pos,
+        1 AS document_pos, CASE WHEN DOCKET_ID LIKE '%-%-2' THEN '0,1' ELSE '0,0' END AS element_pos
+    FROM ({_delivery_sql(_FILE_COLUMNS)})"""
 )
 def nested_ingest_provenance(spark, sf_dir):
+    """Each document is the second of an array that starts on a new line."""
     spec = replace(_spec(), provenance=True)
-    rows = ds.ingest_texts(delivery_documents(spark, sf_dir), spec, "append")
-    return rows.drop(spec.order_col)
+    docs = delivery_documents(spark, sf_dir)
+    docs = docs.withColumn("text", F.concat(F.lit("\n\t[null, "), "text", F.lit("]")))
+    rows = ds.ingest_texts(docs, spec, "append").drop(spec.order_col)
+    place = F.array_join(F.transform("element_pos", lambda p: p.cast("string")), ",")
+    return rows.withColumn("element_pos", place)
+
+
+@query(_delivery_sql(where="l_returnflag <> 'R'"))
+def quarantined_ingest(spark, sf_dir):
+    """Documents behind a byte order mark and arrays behind a new line are read;
+    text after a document sends the whole text to the rejects."""
+    docs = delivery_documents(spark, sf_dir)
+    returned = F.col("text").contains('"location":"R"')
+    text = (
+        F.when(returned, F.concat("text", F.lit(" {}")))
+        .when(F.col("text").contains('"location":"A"'), F.concat(F.lit("\ufeff"), "text"))
+        .otherwise(F.concat(F.lit("\r\n["), "text", F.lit("]")))
+    )
+    rows = ds.flatten_documents(docs.withColumn("text", text), _spec(), "quarantine")
+    return _content(rows)
+
+
+@query("SELECT count(*) AS rejected FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'")
+def rejected_documents(spark, sf_dir):
+    docs = delivery_documents(spark, sf_dir)
+    returned = F.col("text").contains('"location":"R"')
+    text = F.when(returned, F.concat("text", F.lit(" {}"))).otherwise(F.col("text"))
+    return ds.rejected_documents(docs.withColumn("text", text)).agg(F.count("*").alias("rejected"))
+
+
+@query(f"SELECT *, TIMESTAMP '2026-01-02 03:04:05' AS INGESTION_TS FROM ({_delivery_sql()})")
+def nested_ingest_stamped(spark, sf_dir):
+    """Every row of a batch has its one stamp, a wall clock in the zone of the spec."""
+    stamp = dt.datetime(2026, 1, 2, 3, 4, 5)
+    docs = delivery_documents(spark, sf_dir)
+    return ds.ingest_texts(docs, _spec(), "append", ingestion_ts=stamp)
+
+
+@query(
+    f"""SELECT {", ".join(_DELIVERY_COLUMNS)}, CASE WHEN year(file_modified_at) >= 1998
+        THEN SITE_NAME END AS PRIORITY FROM ({_delivery_sql(_FILE_COLUMNS)})"""
+)
+def added_column(spark, sf_dir):
+    """A column that later batches have and earlier ones have not."""
+    tables = ds.Tables.below(scratch_path(spark, "wider"))
+    docs = delivery_documents(spark, sf_dir)
+    late = F.year("file_modified_at") >= 1998
+    wider = _spec().with_field(ds.FieldSpec("PRIORITY", "siteAddress.siteName"))
+    ds.commit_batch(docs.where(~late), _spec(), tables, "append")
+    ds.commit_batch(docs.where(late), wider, tables, "append")
+    return ds.read_master(spark, wider, tables).select(*_DELIVERY_COLUMNS, "PRIORITY")
 
 
 @query(_delivery_sql(arrival_kept=True))
@@ -489,35 +542,43 @@ def nested_ingest_dedup(spark, sf_dir):
     return _content(ds.ingest_texts(delivery_documents(spark, sf_dir), _spec(), "append_dedup"))
 
 
-# Master before the batch: orders placed up to 1999, without times and as one site.
-_OLD_MASTER = f"""SELECT * REPLACE (NULL AS LOADED_TIME, 'OLD' AS SITE_NAME) FROM (
-    SELECT {", ".join(_DELIVERY_COLUMNS)} FROM ({_delivery_sql(where="year(o_orderdate) < 2000")})
-)"""
-
-
-@query(
-    f"""WITH batch AS (
+# The batch before: orders placed up to 1999, without times and as one site.
+_OLD_BATCH = f"""SELECT {", ".join(_DELIVERY_COLUMNS)} FROM (
+    SELECT * REPLACE (NULL AS LOADED_TIME, 'OLD' AS SITE_NAME)
+    FROM ({_delivery_sql(_FILE_COLUMNS, "year(o_orderdate) < 2000")})
+) QUALIFY {_ONE_PER_KEY} = 1"""
+_MERGED = f"""WITH batch AS (
         SELECT {", ".join(_DELIVERY_COLUMNS)} FROM (
             {_delivery_sql(_FILE_COLUMNS, "year(o_orderdate) >= 1998")}
         ) QUALIFY {_ONE_PER_KEY} = 1
-    ), old AS ({_OLD_MASTER})
-    SELECT * FROM batch ANTI JOIN old USING ({_NATURAL_KEY})
-    UNION ALL BY NAME
-    SELECT * FROM old ANTI JOIN batch USING ({_NATURAL_KEY})
-    UNION ALL BY NAME
-    SELECT batch.* FROM batch JOIN old USING ({_NATURAL_KEY})"""
-)
-def nested_ingest_merge(spark, sf_dir):
+    ), old AS ({_OLD_BATCH})
+    SELECT * FROM batch UNION ALL BY NAME SELECT * FROM old ANTI JOIN batch USING ({_NATURAL_KEY})"""
+
+
+def _merged_tables(spark, sf_dir):
+    tables = ds.Tables.below(scratch_path(spark, "merged"))
     docs = delivery_documents(spark, sf_dir)
     year = F.year("file_modified_at")
-    old = ds.ingest_texts(docs.where(year < 2000), _spec(), "append").withColumns(
-        {"LOADED_TIME": F.lit(None), "SITE_NAME": F.lit("OLD")}
-    )
-    master = scratch_path(spark, "master")
-    ds.write_table(ds.align_to_schema(old, _spec().master_schema()), master)
-    old = ds.read_table(spark, master, _spec().master_schema())
-    batch = docs.where(year >= 1998)
-    return _content(ds.ingest_texts(batch, _spec(), "merge", master=old))
+    text = F.regexp_replace("text", '"loadedTime":"[^"]*"', '"loadedTime":null')
+    text = F.regexp_replace(text, '"siteName":"[^"]*"', '"siteName":"OLD"')
+    ds.commit_batch(docs.where(year < 2000).withColumn("text", text), _spec(), tables, "merge")
+    ds.commit_batch(docs.where(year >= 1998), _spec(), tables, "merge")
+    return tables
+
+
+@query(_MERGED)
+def nested_ingest_merge(spark, sf_dir):
+    """Two batches through written tables; the master is resolved when it is read."""
+    tables = _merged_tables(spark, sf_dir)
+    return _content(ds.read_master(spark, _spec(), tables, merged=True))
+
+
+@query(_MERGED)
+def compacted_master(spark, sf_dir):
+    """The same after compaction, read without resolving anything."""
+    tables = _merged_tables(spark, sf_dir)
+    ds.compact(spark, _spec(), tables, merged=True)
+    return _content(ds.read_master(spark, _spec(), tables))
 
 
 def _delivery_master(spark, sf_dir):
@@ -559,7 +620,8 @@ def latest_view(spark, sf_dir):
     )
 )
 def docket_change_log(spark, sf_dir):
-    ds.register_views(_delivery_master(spark, sf_dir), _spec(), prefix="deliveries_")
+    master = _delivery_master(spark, sf_dir)
+    ds.register_views(master, _spec(), prefix="deliveries_", names=["change_log"])
     return spark.sql("SELECT * FROM deliveries_change_log")
 
 
@@ -571,7 +633,8 @@ def docket_change_log(spark, sf_dir):
     HAVING row_count > 1 AND distinct_non_ingestion_versions > 1"""
 )
 def docket_change_summary(spark, sf_dir):
-    ds.register_views(_delivery_master(spark, sf_dir), _spec(), prefix="deliveries_")
+    master = _delivery_master(spark, sf_dir)
+    ds.register_views(master, _spec(), prefix="deliveries_", names=["change_summary"])
     return spark.sql("SELECT * FROM deliveries_change_summary")
 
 
@@ -847,17 +910,59 @@ def preview(spark, sf_dir):
 # --- files and jobs ---------------------------------------------------------------
 
 
-@query(
-    """SELECT DISTINCT regexp_extract(file, '[^/]+$') AS file_name
-    FROM glob('/root/testdata/*/*.parquet')
-    WHERE regexp_matches(file, '/[a-z]+s\\.parquet$')"""
-)
+def _write_documents(docs: DataFrame, path: str) -> None:
+    docs.select("text").write.mode("append").text(path)
+
+
+def _deliver(spark, docs: DataFrame, folder: str) -> None:
+    """Writes documents, one per line, to files of their proper names; a file of the
+    same name gives way."""
+    written = scratch_path(spark, "written")
+    docs.select("text", "source_filename").repartition("source_filename").write.partitionBy(
+        "source_filename"
+    ).text(written)
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(written)
+    for part in parts.select("path").collect():
+        name = part["path"].split("source_filename=")[1].split("/")[0]
+        delete(spark, f"{folder}/{name}")
+        move(spark, part["path"], f"{folder}/{name}")
+
+
+_FILE_NAMES = """SELECT DISTINCT 'site_data_' || lower(o_orderstatus) || '_' || year(o_orderdate) || '.json'
+    AS file_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
+@query(f"{_FILE_NAMES} WHERE o_orderstatus = 'F' AND year(o_orderdate) < 1998")
 def discover_files(spark, sf_dir):
-    return ds.discover_files(spark, sf_dir, r"^[a-z]+s\.parquet$", "*.parquet").select("file_name")
+    path = scratch_path(spark, "named")
+    _deliver(spark, delivery_documents(spark, sf_dir), path)
+    return ds.discover_files(spark, path, r"^site_data_f_199[0-7]\.json$", "*.json").select("file_name")
 
 
-def _write_documents(docs: DataFrame, path: str) -> None:
-    docs.select("text").write.mode("append").text(path)
+@query(_delivery_sql())
+def redelivered_files(spark, sf_dir):
+    """The same file names delivered twice with different content: both are loaded."""
+    root = scratch_path(spark, "redelivered")
+    tables = ds.Tables.below(root)
+    docs = delivery_documents(spark, sf_dir)
+    odd = F.get_json_object("text", "$.orders[0].lineId").cast("int") % 2 == 1
+    for part in (docs.where(odd), docs.where(~odd)):
+        _deliver(spark, part, f"{root}/in")
+        ds.run_incremental_ingest(spark, _spec(), f"{root}/in", tables, "append", "lines")
+    return _content(ds.read_master(spark, _spec(), tables))
+
+
+@query(f"SELECT file_name, 'archived' AS status FROM ({_FILE_NAMES})")
+def archived_files(spark, sf_dir):
+    """What became of each file after a run that archives."""
+    root = scratch_path(spark, "archived")
+    tables = ds.Tables.below(root)
+    _deliver(spark, delivery_documents(spark, sf_dir), f"{root}/in")
+    ds.run_incremental_ingest(
+        spark, _spec(), f"{root}/in", tables, "append", "lines", archive_dir=f"{root}/done"
+    )
+    name = F.regexp_extract("archived_to", "([^/]+)$", 1)
+    return ds.read_archived(spark, tables).select(name.alias("file_name"), "status")
 
 
 def _text_spec():
@@ -892,7 +997,7 @@ def incremental_ingest(spark, sf_dir):
         if part is not None:
             _write_documents(part, f"{root}/in")
         ds.run_incremental_ingest(
-            spark, _text_spec(), f"{root}/in", tables, f"{root}/checkpoint", "append", "lines"
+            spark, _text_spec(), f"{root}/in", tables, "append", "lines"
         )
     return _content(ds.read_master(spark, _spec(), tables))
 
@@ -915,16 +1020,16 @@ def batch_ingest_audit(spark, sf_dir):
     )
 
 
-@query(
-    f"""SELECT {", ".join(_DELIVERY_COLUMNS)} FROM ({_delivery_sql()})
-    QUALIFY {_newest(_NATURAL_KEY, _NOT_KEY[1:], _NOT_KEY[0])} = 1"""
-)
+@query(_delivery_sql())
 def rebuild(spark, sf_dir):
-    """All files again, after an earlier load: one row per natural key remains."""
+    """All files again, twice, in place of what was there; then a run with new files."""
     root = scratch_path(spark, "rebuild")
     tables = ds.Tables.below(root)
-    # One file: which of two files is newer is not for SQL to know.
-    _write_documents(delivery_documents(spark, sf_dir).coalesce(1), f"{root}/archive/a/b")
+    docs = delivery_documents(spark, sf_dir)
+    early = F.year("file_modified_at") < 1998
+    _write_documents(docs.where(early), f"{root}/archive/a/b")
     for _ in range(2):
-        ds.rebuild(spark, _text_spec(), f"{root}/archive", tables, layout="lines")
+        ds.rebuild(spark, _text_spec(), f"{root}/archive", tables, "append", "lines")
+    _write_documents(docs.where(~early), f"{root}/in")
+    ds.run_incremental_ingest(spark, _text_spec(), f"{root}/in", tables, "append", "lines")
     return _content(ds.read_master(spark, _spec(), tables))

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from docstrata.functions.times import now_in_zone, stamp_ingestion
 from docstrata.operators.changes import change_log, change_summary
@@ -19,16 +19,28 @@ from docstrata.sources.files import read_raw
 from docstrata.sources.scratch import durable
 from docstrata.sources.tables import (
     AUDIT_SCHEMA,
-    REJECTS_SCHEMA,
     Tables,
-    current_generation,
+    next_batch,
     read_audit,
-    read_table,
+    read_master,
+    read_rejects,
+    remove_superseded,
     write_table,
 )
 from docstrata.spec import PipelineSpec
 
+VIEWS = ("master", "latest", "change_summary", "change_log")
 MODES = ("append", "append_dedup", "merge")
+# Where a row was, most telling first.
+_ORIGIN = (
+    "file_modified_at",
+    "source_filename",
+    "source_path",
+    "block_start",
+    "line_pos",
+    "document_pos",
+    "element_pos",
+)
 
 
 def batch_rows(
@@ -37,15 +49,14 @@ def batch_rows(
     """Master rows of one batch of flat rows.
 
     All rows of a batch carry one stamp, so "newest" within the batch is decided
-    by file time, file name, position and finally by every column.
+    by file time, file name, the place in the file and finally by every column.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     rows = stamp_ingestion(flat, spec.order_col, spec.zone, ingestion_ts)
     if mode == "append":
         return rows
-    origin = [c for c in flat.columns if c not in {f.name for f in spec.fields}]
-    origin.sort(key=["file_modified_at", "source_filename", "document_pos"].index)
+    origin = [c for c in _ORIGIN if c in flat.columns]
     rest = [f.name for f in spec.fields if f.name not in spec.natural_key]
     return latest_per_key(rows, spec.natural_key, origin, tiebreak=rest)
 
@@ -66,7 +77,7 @@ def ingest_texts(
     """
     flat = flatten_documents(raw, spec, on_error, engine)
     schema = spec.master_schema()
-    rows = batch_rows(flat, spec, mode, ingestion_ts).select(*schema.names)
+    rows = batch_rows(_with_lines(flat), spec, mode, ingestion_ts).select(*schema.names)
     if master is None:
         return rows
     master = align_to_schema(master, schema)
@@ -76,66 +87,105 @@ def ingest_texts(
     return master.unionByName(rows)
 
 
+def _with_lines(rows: DataFrame) -> DataFrame:
+    """Rows that did not come from files have no line."""
+    return rows if "line_pos" in rows.columns else rows.withColumn("line_pos", F.lit(0).cast("long"))
+
+
+def _with_files(raw: DataFrame) -> DataFrame:
+    """Raw texts that did not come from files count as one file per name."""
+    known = {
+        "source_path": F.col("source_filename"),
+        "file_bytes": F.lit(0).cast("long"),
+        "file_micros": F.unix_micros(F.col("file_modified_at").cast("timestamp")),
+        "block_start": F.lit(0).cast("long"),
+    }
+    missing = {c: v for c, v in known.items() if c not in raw.columns}
+    return _with_lines(raw.withColumns(missing) if missing else raw)
+
+
 def commit_batch(
     raw: DataFrame,
-    batch_id: int,
     spec: PipelineSpec,
     tables: Tables,
     mode: str = "append_dedup",
     on_error: str = "abort",
     ingestion_ts: dt.datetime | None = None,
-) -> None:
-    """Ingest one batch of raw texts into the tables.
+    foreign: DataFrame | None = None,
+    replaces: bool = False,
+) -> int:
+    """Ingest one batch of raw texts into the tables; returns its number.
 
-    Every output is the whole of ``batch_id``, so running a batch again replaces
-    what the first attempt left.  The audit is written last and marks the batch
-    as done.  The landing table holds the parsed documents of the latest batch;
-    everything after the parse reads it.
+    The audit is written last and marks the batch as done; readers do not see it
+    before.  Every output is the whole of a batch, so a batch that failed is run again
+    under the same number and replaces what the first attempt left.  The landing table
+    holds the parsed documents of the latest batch; everything after the parse reads it.
+    ``foreign`` lists files that are none of the pipeline's, for the audit.  With
+    ``replaces`` the batch takes the place of all before it.
     """
     spark = raw.sparkSession
+    batch_id = next_batch(spark, tables)
     stamp = ingestion_ts or now_in_zone(spec.zone)
-    accepted = F.col("source_filename").rlike(spec.name_regex)
-    texts = raw.withColumn("accepted", accepted).withColumn(
-        "text", F.when(F.col("accepted"), F.col("text"))
-    )
-    parsed = parsed_texts(texts, spec, on_error).withColumn(
+    parsed = parsed_texts(_with_files(raw), spec, on_error).withColumn(
         "text", F.when(F.col("_docs").isNull(), F.col("text"))
     )
     write_table(parsed, tables.landing)
     landed = spark.read.schema(parsed.schema).parquet(tables.landing)
 
-    flat = rows_of_parsed(landed.drop("accepted", "text"), spec)
+    documents = landed.drop("text")
+    if spec.provenance:
+        documents = number_lines(documents)
+    flat = rows_of_parsed(documents, spec)
     rows = batch_rows(flat, spec, mode, stamp).select(*spec.master_schema().names)
-    if mode == "merge":
-        previous = current_generation(spark, tables, before=batch_id)
-        if previous is not None:
-            target = read_table(
-                spark, f"{tables.master}/generation={previous}", spec.master_schema()
-            )
-            rows = merge_upsert(target, durable(rows), spec.natural_key)
-        write_table(rows, f"{tables.master}/generation={batch_id}")
-    else:
-        write_table(rows, f"{tables.master}/batch_id={batch_id}")
+    write_table(rows, f"{tables.master}/batch_id={batch_id}")
 
     rejects = landed.where(F.col("text").isNotNull())
     rejects = rejects.select("source_filename", "file_modified_at", "text")
     write_table(rejects, f"{tables.rejects}/batch_id={batch_id}")
-    audit = _audit(landed, flat, spec, stamp)
+    audit = _audit(landed, flat, foreign, spec, stamp, replaces)
     write_table(audit, f"{tables.audit}/batch_id={batch_id}")
+    return batch_id
+
+
+def number_lines(rows: DataFrame) -> DataFrame:
+    """Lines numbered from 0 in their file instead of in their task.
+
+    A task numbers the lines of a block in a row, so what is missing is how many lines
+    the blocks before it have: one row per block.
+    """
+    blocks = rows.groupBy("source_path", "block_start").agg(
+        F.min("line_pos").alias("_first"), F.count("*").alias("_lines")
+    )
+    before = Window.partitionBy("source_path").orderBy("block_start")
+    ahead = F.sum("_lines").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select(
+        "source_path", "block_start", (F.coalesce(ahead, F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    numbered = rows.join(blocks, ["source_path", "block_start"])
+    return numbered.withColumn("line_pos", F.col("line_pos") + F.col("_shift")).select(*rows.columns)
 
 
 def _audit(
-    landed: DataFrame, flat: DataFrame, spec: PipelineSpec, stamp: dt.datetime
+    landed: DataFrame,
+    flat: DataFrame,
+    foreign: DataFrame | None,
+    spec: PipelineSpec,
+    stamp: dt.datetime,
+    replaces: bool,
 ) -> DataFrame:
     """One row per file of the batch, also for files that gave no rows."""
-    files = landed.groupBy("source_filename").agg(
-        F.when(F.bool_and("accepted"), "loaded").otherwise("name_mismatch").alias("status"),
+    files = landed.groupBy("source_path", "source_filename", "file_bytes", "file_micros").agg(
+        F.lit("loaded").alias("status"),
         F.coalesce(F.sum(F.size("_docs")), F.lit(0)).alias("documents"),
         F.count_if(F.col("text").isNotNull()).alias("rejected"),
     )
-    counts = ingestion_audit(flat, spec.natural_key)
-    audit = files.join(counts, "source_filename", "left").fillna(0, ["row_count", "distinct_keys"])
-    audit = stamp_ingestion(audit, "ingestion_ts", spec.zone, stamp)
+    counts = ingestion_audit(flat, spec.natural_key, "source_path")
+    audit = files.join(counts, "source_path", "left").fillna(0, ["row_count", "distinct_keys"])
+    if foreign is not None:
+        none = {c: F.lit(0).cast("long") for c in ("documents", "rejected", "row_count", "distinct_keys")}
+        others = foreign.withColumns({"status": F.lit("name_mismatch"), **none})
+        audit = audit.unionByName(others.select(*audit.columns))
+    audit = stamp_ingestion(audit.withColumn("replaces", F.lit(replaces)), "ingestion_ts", spec.zone, stamp)
     return audit.select(*(f.name for f in AUDIT_SCHEMA if f.name != "batch_id"))
 
 
@@ -144,12 +194,12 @@ def ingest(
     spec: PipelineSpec,
     directory: str | Sequence[str],
     tables: Tables,
-    batch_id: int = 0,
     mode: str = "append_dedup",
     layout: str = "document",
     on_error: str = "abort",
     recursive: bool = False,
     ingestion_ts: dt.datetime | None = None,
+    replaces: bool = False,
 ) -> DataFrame:
     """Load every file of a folder as one batch; returns its audit rows."""
     folders = [directory] if isinstance(directory, str) else list(directory)
@@ -160,7 +210,7 @@ def ingest(
             for d in folders
         ),
     )
-    commit_batch(raw, batch_id, spec, tables, mode, on_error, ingestion_ts)
+    batch_id = commit_batch(raw, spec, tables, mode, on_error, ingestion_ts, None, replaces)
     return read_audit(spark, tables).where(F.col("batch_id") == batch_id)
 
 
@@ -174,46 +224,55 @@ def rebuild(
     on_error: str = "abort",
     ingestion_ts: dt.datetime | None = None,
 ) -> DataFrame:
-    """Empty the tables and load all archived files again, subfolders included.
+    """Load all archived files again, subfolders included, in place of all there is.
 
-    The next incremental run needs a fresh checkpoint and, if the files still lie
-    in its source folder, will see them as new.
+    The tables change when the new batch is complete; a malformed file leaves them as
+    they were.  The audit keeps the files of earlier batches, so a later incremental run
+    does not load them again.
     """
-    empty_tables(spark, spec, tables)
-    return ingest(
-        spark, spec, archives, tables, 0, mode, layout, on_error, True, ingestion_ts
+    audit = ingest(
+        spark, spec, archives, tables, mode, layout, on_error, True, ingestion_ts, replaces=True
     )
+    remove_superseded(spark, tables)
+    return audit
 
 
-def empty_tables(spark: SparkSession, spec: PipelineSpec, tables: Tables) -> None:
-    """Drop the content of master, audit and rejects (truncate)."""
-    for path, schema in (
-        (tables.master, spec.master_schema()),
-        (tables.audit, AUDIT_SCHEMA),
-        (tables.rejects, REJECTS_SCHEMA),
-    ):
-        columns = [f for f in schema if f.name != "batch_id"]
-        write_table(spark.createDataFrame([], type(schema)(columns)), path)
+def compact(spark: SparkSession, spec: PipelineSpec, tables: Tables, merged: bool = False) -> None:
+    """Writes the master as one batch, ``merged`` without the rows that newer ones
+    replaced, and deletes the folders of the batches before it."""
+    batch_id = next_batch(spark, tables)
+    rows = read_master(spark, spec, tables, merged)
+    write_table(rows, f"{tables.master}/batch_id={batch_id}")
+    kept = read_rejects(spark, tables).drop("batch_id")
+    write_table(kept, f"{tables.rejects}/batch_id={batch_id}")
+    marker = [(None, None, None, None, "compacted", 0, 0, 0, 0, now_in_zone(spec.zone), True)]
+    columns = T.StructType([f for f in AUDIT_SCHEMA if f.name != "batch_id"])
+    write_table(spark.createDataFrame(marker, columns), f"{tables.audit}/batch_id={batch_id}")
+    remove_superseded(spark, tables)
 
 
 def register_views(
-    master: DataFrame, spec: PipelineSpec, prefix: str = "", hot_rows: int | None = HOT_ROWS
+    master: DataFrame,
+    spec: PipelineSpec,
+    prefix: str = "",
+    hot_rows: int | None = HOT_ROWS,
+    names: Sequence[str] = VIEWS,
 ) -> dict[str, DataFrame]:
     """Temp views over the master: all rows, latest version, change summary and log.
 
-    The change log looks for hot keys now; register the views again after the
-    next ingest.
+    They show the files of this moment; register them again after the next ingest.
+    Only the change log, if it is among ``names``, runs a job now, to look for hot keys.
     """
-    views = {
-        "master": master,
-        "latest": latest_view(master, spec),
-        "change_summary": change_summary(
-            master, spec.version_key, [spec.order_col, *spec.exclude]
-        ),
-        "change_log": change_log(
+    unversioned = [spec.order_col, *spec.exclude]
+    make = {
+        "master": lambda: master,
+        "latest": lambda: latest_view(master, spec),
+        "change_summary": lambda: change_summary(master, spec.version_key, unversioned),
+        "change_log": lambda: change_log(
             master, spec.version_key, spec.order_col, spec.exclude, hot_rows=hot_rows
         ),
     }
+    views = {name: make[name]() for name in names}
     for name, view in views.items():
         view.createOrReplaceTempView(f"{prefix}{name}")
     return views

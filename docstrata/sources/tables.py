@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from docstrata.operators.latest import latest_per_key
 from docstrata.spec import PipelineSpec
 
 AUDIT_SCHEMA = (
     T.StructType()
+    .add("source_path", T.StringType())
     .add("source_filename", T.StringType())
+    .add("file_bytes", T.LongType())
+    .add("file_micros", T.LongType())
     .add("status", T.StringType())
     .add("documents", T.LongType())
     .add("rejected", T.LongType())
     .add("row_count", T.LongType())
     .add("distinct_keys", T.LongType())
     .add("ingestion_ts", T.TimestampNTZType())
+    .add("replaces", T.BooleanType())
     .add("batch_id", T.LongType())
 )
 REJECTS_SCHEMA = (
@@ -27,6 +34,13 @@ REJECTS_SCHEMA = (
     .add("text", T.StringType())
     .add("batch_id", T.LongType())
 )
+ARCHIVED_SCHEMA = (
+    T.StructType()
+    .add("source_path", T.StringType())
+    .add("file_micros", T.LongType())
+    .add("archived_to", T.StringType())
+    .add("status", T.StringType())
+)
 
 
 @dataclass(frozen=True)
@@ -37,11 +51,13 @@ class Tables:
     landing: str
     audit: str
     rejects: str
+    archived: str
 
     @classmethod
     def below(cls, root: str) -> Tables:
         root = root.rstrip("/")
-        return cls(f"{root}/master", f"{root}/landing", f"{root}/audit", f"{root}/rejects")
+        names = ("master", "landing", "audit", "rejects", "archived")
+        return cls(*(f"{root}/{n}" for n in names))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -64,27 +80,74 @@ def read_audit(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def read_rejects(spark: SparkSession, tables: Tables) -> DataFrame:
-    return read_table(spark, tables.rejects, REJECTS_SCHEMA)
+    rejects = read_table(spark, tables.rejects, REJECTS_SCHEMA)
+    return rejects.where(F.col("batch_id").isin(committed_batches(spark, tables)))
+
+
+def read_archived(spark: SparkSession, tables: Tables) -> DataFrame:
+    """What became of each file that was to be archived."""
+    return read_table(spark, tables.archived, ARCHIVED_SCHEMA)
+
+
+def next_batch(spark: SparkSession, tables: Tables) -> int:
+    """The number after the highest in the audit: no batch ever takes another's place,
+    and one that failed before its audit was written is run again under its number."""
+    highest = read_audit(spark, tables).agg(F.max("batch_id")).first()[0]
+    return 0 if highest is None else highest + 1
 
 
-def current_generation(
-    spark: SparkSession, tables: Tables, before: int | None = None
-) -> int | None:
-    """Newest committed generation of a merged master; the audit is the commit log."""
+def committed_batches(spark: SparkSession, tables: Tables) -> list[int]:
+    """Batches that readers see: all with an audit, from the last on that replaced
+    what was there before (a rebuild or a compaction)."""
     audit = read_audit(spark, tables)
-    if before is not None:
-        audit = audit.where(F.col("batch_id") < before)
-    return audit.agg(F.max("batch_id")).first()[0]
+    batches = audit.groupBy("batch_id").agg(F.bool_or("replaces").alias("replaces")).collect()
+    start = max((b["batch_id"] for b in batches if b["replaces"]), default=-1)
+    return sorted(b["batch_id"] for b in batches if b["batch_id"] >= start)
 
 
 def read_master(
     spark: SparkSession, spec: PipelineSpec, tables: Tables, merged: bool = False
 ) -> DataFrame:
-    """The master table: all appended batches, or the newest merged generation."""
+    """The rows of all committed batches; ``merged`` keeps, of the rows of a natural
+    key, those of the newest batch.  Rows with a NULL in the key match nothing."""
     schema = spec.master_schema()
-    if not merged:
-        return read_table(spark, tables.master, schema)
-    generation = current_generation(spark, tables)
-    if generation is None:
+    batches = committed_batches(spark, tables)
+    if not batches:
         return spark.createDataFrame([], schema)
-    return read_table(spark, f"{tables.master}/generation={generation}", schema)
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    rows = read_table(spark, tables.master, numbered).where(F.col("batch_id").isin(batches))
+    if merged:
+        keyed = reduce(and_, (F.col(k).isNotNull() for k in spec.natural_key))
+        newest = latest_per_key(rows.where(keyed), spec.natural_key, "batch_id")
+        rows = newest.unionByName(rows.where(~keyed))
+    return rows.select(*schema.names)
+
+
+def remove_superseded(spark: SparkSession, tables: Tables) -> None:
+    """Deletes the folders of master and rejects that no reader sees any more."""
+    live = {f"batch_id={n}" for n in committed_batches(spark, tables)}
+    for table in (tables.master, tables.rejects):
+        for folder in list_folders(spark, table):
+            if folder.startswith("batch_id=") and folder not in live:
+                delete(spark, f"{table}/{folder}")
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(where) if f.isDirectory()]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Renames a file, with the folders it needs; false if it could not be moved."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target).getParent())
+    return system.rename(path(source), path(target))

@@ -125,6 +125,12 @@ BAD = [
     document([{"docketId": "k"}]) + " junk",
     document([{"docketId": "k"}]) + document([{"docketId": "l"}]),
     "[{}] x",
+    "[" + document([{"docketId": "k"}]) + "]} {}",
+    document([{"docketId": "k"}]) + '],"_end":"x"} {',
+    "5",
+    "[[{}]]",
+    "[{}, 5]",
+    '{"orders":[{"quantity":NaN}]}',
     "{'orders':[]}",
 ]
 
@@ -221,3 +227,50 @@ def test_to_key_value_keeps_nulls_and_mixed_types(spark):
         (1, "n", "2.50"),
         (1, "s", None),
     ]
+
+
+@pytest.mark.parametrize("engine", ENGINES)
+@pytest.mark.parametrize("before", ["", "\n", "\t", "\r\n", " ", "\ufeff", "\ufeff\n"])
+def test_nothing_before_a_document_hides_it(raw, engine, before):
+    one = document([{"docketId": "a"}])
+    for on_error in ("abort", "quarantine"):
+        texts = raw(before + one, before + "[" + one + ", null]")
+        assert ids(ds.flatten_documents(texts, SPEC, on_error, engine)) == ["a", "a"]
+        assert ds.rejected_documents(texts).isEmpty()
+
+
+VALUES = [
+    '"12,5"', '"1,234.5"', "{}", '{"z":1,"a":2}', "[]", "[1]", "1.50", "1e2", '" 7 "', '""', "1" * 30, "true", "null",
+    '"09:41:43"', '"2026-03-19"', '"2026-03-19T09:41:43"', '"abc"', "0.1", "-0", "1e400", "12345678901234567.891",
+]
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_engines_agree_on_every_value(raw, strict):
+    spec = replace(SPEC, fields=tuple(replace(f, strict=strict) for f in SPEC.fields))
+    names = {"string": "docketId", "decimal(18,6)": "deliveryQuantity", "decimal(38,0)": "ratioOPC", "time": "orderDate"}
+
+    def outcome(text, engine):
+        try:
+            return ds.flatten_documents(raw(text), spec, engine=engine).collect()
+        except Exception as error:  # noqa: BLE001
+            return str(getattr(error, "getCondition", lambda: None)() or "error").split(".")[0]
+
+    for name in names.values():
+        for odd in (False, True) if name == "docketId" else (False,):
+            for value in VALUES:
+                site = '"siteAddress":"odd",' if odd else ""
+                text = '{"orders":[{"orderId":"o",%s"dockets":[{"%s":%s}]}]}' % (site, name, value)
+                assert outcome(text, "typed") == outcome(text, "variant"), (name, value)
+
+
+def test_an_object_in_a_text_field_is_one_key(raw):
+    plain = '{"orders":[{"orderId":{"z":1,"a":2},%s"dockets":[{"docketId":"d"}]}]}'
+    rows = ds.flatten_documents(raw(plain % "", plain % '"siteAddress":"odd",'), SPEC)
+    assert {r[0] for r in rows.select("ORDER_ID").collect()} == {'{"a":2,"z":1}'}
+
+
+def test_a_comma_is_no_number(raw):
+    text = document([{"docketId": "a"}], quantity="12,5")
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        ds.flatten_documents(raw(text), SPEC).collect()

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -41,7 +42,6 @@ class Job:
             SPEC,
             str(self.source),
             self.tables,
-            str(self.root / "checkpoint"),
             self.mode,
             self.layout,
             **options,
@@ -164,7 +164,7 @@ def test_file_that_arrives_during_a_run_waits_for_the_next(spark, tmp_path, monk
 
     def slow(*args, **options):
         job.put("site_data_2_2.json", document("o", "late"))
-        commit(*args, **options)
+        return commit(*args, **options)
 
     with monkeypatch.context() as patch:
         patch.setattr(incremental, "commit_batch", slow)
@@ -174,27 +174,122 @@ def test_file_that_arrives_during_a_run_waits_for_the_next(spark, tmp_path, monk
     assert job.dockets() == [("o", "a", "g"), ("o", "late", "g")]
 
 
-def test_archive_moves_files_once_a_later_batch_commits(spark, tmp_path):
+def test_files_are_archived_and_foreign_ones_stay(spark, tmp_path):
     job = Job(spark, tmp_path, "append")
     names = [f"site_data_{i}_{i}.json" for i in range(3)]
+    job.put("site_data_a_b_c.json", b"not ours")
     for i, name in enumerate(names):
         job.put(name, document("o", str(i)))
         job.run(archive_dir=str(job.archive))
-    archived = {p.name for p in job.archive.rglob("*.json")}
-    waiting = {p.name for p in job.source.glob("*.json")}
-    assert archived | waiting == set(names) and not archived & waiting
-    assert names[0] in archived and names[2] in waiting
+    assert sorted(p.name for p in job.archive.rglob("*.json")) == names
+    assert [p.name for p in job.source.glob("*.json")] == ["site_data_a_b_c.json"]
+    report = ds.read_archived(spark, job.tables).collect()
+    assert sorted(Path(r["source_path"]).name for r in report) == names
+    assert {r["status"] for r in report} == {"archived"}
     assert len(job.dockets()) == 3
+    job.put(names[0], document("o", "again"), age=5)
+    job.run(archive_dir=str(job.archive))
+    assert sorted(p.name for p in job.archive.rglob("*.json")) == sorted([*names, names[0]])
 
     rebuilt = ds.Tables.below(str(tmp_path / "rebuilt"))
-    folders = [str(job.archive), str(job.source)]
     for _ in range(2):
-        audit = ds.rebuild(spark, SPEC, folders, rebuilt)
-        assert sorted(r["source_filename"] for r in audit.collect()) == names
+        audit = ds.rebuild(spark, SPEC, str(job.archive), rebuilt)
+        assert sorted({r["source_filename"] for r in audit.collect()}) == names
     again = ds.read_master(spark, SPEC, rebuilt)
     assert same_rows(again.drop("INGESTION_TS"), job.master().drop("INGESTION_TS"))
 
 
+def test_a_late_file_a_new_delivery_and_one_name_in_two_folders(spark, tmp_path):
+    job = Job(spark, tmp_path, "append")
+    job.put("site_data_1_1.json", document("o", "a"))
+    job.run()
+    job.put("site_data_0_0.json", document("o", "late"), age=30 * 86_400)
+    assert list(job.run()) == ["site_data_0_0.json"]
+    job.put("site_data_1_1.json", document("o", "a", grade="second"), age=-10)
+    assert list(job.run()) == ["site_data_1_1.json"]
+    assert job.dockets() == [("o", "a", "g"), ("o", "a", "second"), ("o", "late", "g")]
+    for folder in ("x", "y"):
+        (tmp_path / "two" / folder).mkdir(parents=True)
+        (tmp_path / "two" / folder / "site_data_1_1.json").write_bytes(document(folder, "d"))
+    audit = ds.ingest(spark, SPEC, str(tmp_path / "two"), job.tables, "append", recursive=True)
+    assert [r["documents"] for r in audit.collect()] == [1, 1]
+
+
+def test_no_batch_replaces_another(job):
+    job.put("site_data_1_1.json", document("o", "a"))
+    job.run()
+    for n in (1, 2):
+        folder = job.root / f"more{n}"
+        folder.mkdir()
+        (folder / "site_data_2_2.json").write_bytes(document(f"p{n}", "b"))
+        ds.ingest(job.spark, SPEC, str(folder), job.tables, job.mode)
+    both = [("o", "a", "g"), ("p1", "b", "g"), ("p2", "b", "g")]
+    assert job.dockets() == both
+    ds.rebuild(job.spark, SPEC, [str(job.source), *(str(job.root / f"more{n}") for n in (1, 2))], job.tables, job.mode)
+    assert job.dockets() == both
+    job.put("site_data_3_3.json", document("q", "c"))
+    job.run()
+    assert job.dockets() == [*both, ("q", "c", "g")]
+    (job.source / "site_data_4_4.json").write_bytes(b"{")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        ds.rebuild(job.spark, SPEC, str(job.source), job.tables, job.mode)
+    assert job.dockets() == [*both, ("q", "c", "g")]
+
+
+def test_a_batch_without_audit_is_not_seen(spark, tmp_path):
+    job = Job(spark, tmp_path, "append")
+    job.put("site_data_1_1.json", document("o", "a"))
+    job.run()
+    ds.write_table(job.master(), f"{job.tables.master}/batch_id=1")
+    assert job.dockets() == [("o", "a", "g")]
+
+
+def test_merge_writes_the_batch_only_and_compaction_cleans_up(spark, tmp_path):
+    job = Job(spark, tmp_path, "merge")
+    for i in range(3):
+        job.put(f"site_data_{i}_0.json", document("o", "a", str(i), grade=str(i)))
+        job.run()
+    folders = sorted(p.name for p in Path(job.tables.master).iterdir() if p.is_dir())
+    assert folders == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    assert sum(len(list((Path(job.tables.master) / f).glob("*.parquet"))) for f in folders) <= 6
+    before = job.dockets()
+    assert before == [("o", "0", "0"), ("o", "1", "1"), ("o", "2", "2"), ("o", "a", "2")]
+    ds.compact(spark, SPEC, job.tables, merged=True)
+    assert [p.name for p in Path(job.tables.master).iterdir() if p.is_dir()] == ["batch_id=3"]
+    assert job.dockets() == before
+    assert job.run() == {}
+    job.put("site_data_9_0.json", document("o", "a", grade="9"))
+    job.run()
+    assert job.dockets()[-1] == ("o", "a", "9")
+
+
+def test_the_later_line_and_element_win(spark, tmp_path):
+    job = Job(spark, tmp_path, "append_dedup", "lines")
+    lines = [document("o", "a", grade="zzz"), document("o", "b", grade="z"), document("o", "a", grade="aaa-later")]
+    twice = json.loads(document("p", "c", "c"))
+    twice["orders"][0]["dockets"][0]["grade"] = "zzz"
+    twice["orders"][0]["dockets"][1]["grade"] = "later"
+    job.put("site_data_1_1.json", b"\n".join([*lines, json.dumps(twice).encode()]))
+    job.run()
+    assert job.dockets() == [("o", "a", "aaa-later"), ("o", "b", "z"), ("p", "c", "later")]
+
+
+def test_lines_are_numbered_across_blocks(spark, tmp_path):
+    spec = replace(SPEC, provenance=True)
+    lines = [document("o", str(i)) for i in range(2000)]
+    lines[7] = b""
+    (tmp_path / "site_data_1_1.json").write_bytes(b"\n".join(lines))
+    tables = ds.Tables.below(str(tmp_path / "tables"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        ds.ingest(spark, spec, str(tmp_path), tables, "append", "lines")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    rows = ds.read_master(spark, spec, tables).select("DOCKET_ID", "line_pos").collect()
+    assert len(rows) == 1999 and all(int(d) == n for d, n in rows)
+
+
 def test_many_batches_in_one_run(spark, tmp_path):
     job = Job(spark, tmp_path, "merge")
     for i in range(5):
@@ -231,8 +326,7 @@ def test_schema_evolution_reads_old_batches(spark, tmp_path):
     wider = SPEC.with_field(ds.FieldSpec("NEW_COLUMN", "newFieldPath", level=1))
     text = document("o", "b").replace(b'"grade"', b'"newFieldPath": "n", "grade"')
     job.put("site_data_2_2.json", text)
-    checkpoint = str(job.root / "checkpoint")
-    ds.run_incremental_ingest(spark, wider, str(job.source), job.tables, checkpoint, "append")
+    ds.run_incremental_ingest(spark, wider, str(job.source), job.tables, "append")
     master = ds.read_master(spark, wider, job.tables)
     rows = sorted(map(tuple, master.select("DOCKET_ID", "NEW_COLUMN").collect()))
     assert rows == [("a", None), ("b", "n")]
