@@ -8,12 +8,12 @@ index once for each choice of ``errors`` slots left out, and all pairs under tha
 distance share an entry. Sets that are 80 % alike differ in 10 of the default 50 slots
 on average and share an entry with a probability of 0.999998.
 
-The entries of the index are worked off in rounds. A round takes a few members of each
-entry as heads and compares them with the members that are not yet in their component;
-pairs that pass the signature distance are confirmed on the full sets, and components
-grow. Heads leave the entry, entries within one component are done, and the number of
-heads grows fourfold from round to round. So a group of thousands of near copies costs
-a few comparisons per member, and still no pair of different components is left out.
+The entries of the index are worked off in two steps. First the smallest member of each
+entry meets the others; pairs that pass the signature distance are confirmed on the full
+sets, and components grow. That settles most entries, also those of thousands of near
+copies, at one comparison per member. In entries that still hold several components,
+every member outside the largest one meets all others on full sets, in blocks of bounded
+size that emit links instead of pairs. So no pair of different components is left out.
 
 Defined cases: a text without words, or null, has no shingles and is linked with
 nothing; a text with fewer words than a shingle has its whole sequence as the only
@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import Scratch, disclose, enclose, inner, pick, small_side
+from docstrata.llm.tables import BROADCAST_BYTES, Scratch, disclose, enclose, inner, pick, small_side
 from docstrata.llm.words import Hasher, Spans, Words, buffers, chunks, mix, not_space, signed, stream
 
 WORDS = 5
@@ -44,6 +44,11 @@ SEED = 0x5E75
 #: Signatures further apart than this belong to sets less than half alike.
 DISTANCE = 26
 
+_ROW_BYTES = 160
+# Elements of the sets that one block of an entry holds: of those asking, of all.
+_FEW_ELEMENTS = 1 << 19
+_MANY_ELEMENTS = 1 << 21
+
 _MARK = "struct<n:bigint,f1:bigint,f2:bigint,sig:binary>"
 
 
@@ -148,18 +153,17 @@ def _alike(percent: int) -> Column:
     return shared * 100 >= union * percent
 
 
-def merge_labels(scratch: Scratch, labels: DataFrame, links: DataFrame) -> DataFrame:
+def merge_labels(scratch: Scratch, labels: DataFrame, links: DataFrame, light: Light) -> DataFrame:
     """Labels (node, label) after links (a, b) between labels are contracted.
 
     Every label hangs below its smallest neighbour, chains are shortened by doubling,
     and the links are renamed, until none joins two labels.
     """
-    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = scratch.write(ordered.where("a < b").distinct())
+    links = scratch.write(_ordered_links(links))
     while not links.isEmpty():
         parents = scratch.write(links.groupBy("b").agg(F.min("a").alias("p")))
         while True:
-            above = parents.select(F.col("b").alias("p"), F.col("p").alias("pp"))
+            above = light(parents.select(F.col("b").alias("p"), F.col("p").alias("pp")))
             longer = scratch.write(
                 parents.join(above, "p", "left").select(
                     "b", F.coalesce("pp", "p").alias("p"), F.isnotnull("pp").alias("moved")
@@ -169,18 +173,31 @@ def merge_labels(scratch: Scratch, labels: DataFrame, links: DataFrame) -> DataF
             parents = longer.select("b", "p")
             if done:
                 break
-        renamed = parents.select(F.col("b").alias("label"), "p")
-        labels = scratch.write(
-            labels.join(renamed, "label", "left").select("node", F.coalesce("p", "label").alias("label"))
-        )
+        labels = labels.join(light(parents.withColumnRenamed("b", "label")), "label", "left")
+        labels = scratch.write(labels.select("node", F.coalesce("p", "label").alias("label")))
         for end in ("a", "b"):
-            to = parents.select(F.col("b").alias(end), "p")
+            to = light(parents.withColumnRenamed("b", end))
             links = links.join(to, end, "left").withColumn(end, F.coalesce("p", end)).drop("p")
-        ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = scratch.write(ordered.where("a < b").distinct())
+        links = scratch.write(_ordered_links(links))
     return labels
 
 
+def _ordered_links(links: DataFrame) -> DataFrame:
+    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return ordered.where("a < b").distinct()
+
+
+class Light:
+    """Broadcasts tables of at most one short row per node while the nodes, counted
+    once, are few enough; beyond that they are shuffled like any other."""
+
+    def __init__(self, nodes: DataFrame):
+        self.few = nodes.count() * _ROW_BYTES <= BROADCAST_BYTES
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.few else df
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = WORDS,
@@ -205,39 +222,20 @@ def near_duplicates(
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     members = scratch.write(entries.join(shared, "key").select("key", "node"))
     nodes = scratch.write(members.select("node").distinct())
+    light = Light(nodes)
     sets = scratch.write(_sets_of(texts, nodes, words))
-    heads_of = classes.join(nodes, "node", "left_semi").select("node", "n", "sig")
-    sigs = scratch.write(heads_of)
-    labels = nodes.select("node", F.col("node").alias("label"))
-    tried: DataFrame | None = None
-    heads = 1
-    while True:
-        labelled = members.join(labels, "node")
-        apart = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        members = scratch.write(labelled.join(apart.where("lo < hi").select("key"), "key"))
-        if members.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        chosen = scratch.write(
-            members.withColumn("_rank", rank)
-            .where(F.col("_rank") <= heads)
-            .select("key", F.col("node").alias("head"), F.col("label").alias("head_label"))
-        )
-        pairs = members.join(chosen, "key").where("label <> head_label")
-        pairs = pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.write(_close(pairs, sigs, percent, distance))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = _confirmed(pairs, sets, percent)
-        for end in ("a", "b"):
-            to = labels.select(F.col("node").alias(end), "label")
-            links = links.join(to, end).withColumn(end, F.col("label")).drop("label")
-        labels = merge_labels(scratch, labels, links)
-        used = chosen.select("key", F.col("head").alias("node"))
-        members = members.select("key", "node").join(used, ["key", "node"], "left_anti")
-        heads *= 4
+    sigs = scratch.write(classes.join(light(nodes), "node", "left_semi").select("node", "n", "sig"))
+    labels = scratch.write(nodes.select("node", F.col("node").alias("label")))
+    members = _open_entries(scratch, members, labels, light)
+    heads = scratch.write(members.groupBy("key").agg(F.min("node").alias("head")))
+    found = members.join(small_side(heads, 16), "key").where("node <> head")
+    pairs = found.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    pairs = small_side(scratch.write(_close(pairs, light(sigs), percent, distance)), 16)
+    labels = merge_labels(scratch, labels, _confirmed(pairs, sets, percent), light)
+    rest = members.join(small_side(heads, 16), "key").where("node <> head").select("key", "node")
+    rest = _open_entries(scratch, rest, labels, light)
+    links = scratch.write(_within_entries(scratch, rest, sigs, sets, light, percent))
+    labels = merge_labels(scratch, labels, links, light)
     of_class = scratch.write(
         classes.join(labels, "node", "left").select(
             "n", "f1", "f2", F.coalesce("label", "node").alias("component_id")
@@ -252,6 +250,95 @@ def near_duplicates(
     )
 
 
+def _open_entries(scratch: Scratch, members: DataFrame, labels: DataFrame, light: Light) -> DataFrame:
+    """The members (key, node, label) of entries that hold several components."""
+    labelled = members.select("key", "node").join(light(labels), "node").select("key", "node", "label")
+    apart = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    apart = small_side(scratch.write(apart.where("lo < hi").select("key")), 8)
+    return scratch.write(labelled.join(apart, "key"))
+
+
+def _within_entries(
+    scratch: Scratch, members: DataFrame, sigs: DataFrame, sets: DataFrame, light: Light, percent: int
+) -> DataFrame:
+    """Links (a, b) between the labels of the members of an entry.
+
+    In each entry one label has the most members; every pair to compare has a member
+    of another label. Those meet all members in blocks of bounded size, an exact join on
+    an inverted index of the block, which emits links and no pairs.
+    """
+    sizes = light(sigs.groupBy("node").agg(F.max("n").alias("n")))
+    sized = scratch.write(members.join(sizes, "node"))
+    held = sized.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    entry = held.groupBy("key").agg(
+        F.max(F.struct("c", "label", "n")).alias("big"), F.sum("n").alias("n")
+    )
+    entry = entry.select(
+        "key",
+        F.col("big.label").alias("big"),
+        F.ceil((F.col("n") - F.col("big.n")) / _FEW_ELEMENTS).cast("int").alias("others"),
+        F.ceil(F.col("n") / _MANY_ELEMENTS).cast("int").alias("blocks"),
+    )
+    placed = sized.join(small_side(scratch.write(entry), 32), "key")
+
+    def block(count: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(count).cast("long")).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    other = placed.where("label <> big").select(
+        "key", "node", "label", F.lit(True).alias("asks"), block("others").alias("o"), every("blocks").alias("m")
+    )
+    known = placed.select(
+        "key", "node", "label", F.lit(False).alias("asks"), block("blocks").alias("m"), every("others").alias("o")
+    )
+    rows = small_side(scratch.write(other.unionByName(known)), 40)
+    blocks = rows.join(sets, "node").groupBy("key", "o", "m")
+    return blocks.applyInArrow(_links_of(percent), "a bigint, b bigint")
+
+
+def _links_of(percent: int):
+    """Of a block of rows (asks, label, set): a link for each two labels that join."""
+
+    def links(rows: pa.Table) -> pa.Table:
+        label = rows["label"].to_numpy()
+        asks = rows["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        lists = rows["set"].combine_chunks()
+        values, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        size = np.diff(offsets)
+        known = np.flatnonzero(~asks)
+        owner = np.repeat(np.arange(len(size)), size)
+        listed = ~asks[owner]
+        order = np.argsort(values[listed], kind="stable")
+        sorted_values, owners = values[listed][order], owner[listed][order]
+        root = {x: x for x in label.tolist()}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out: list[tuple[int, int]] = []
+        for row in np.flatnonzero(asks).tolist():
+            own = values[offsets[row] : offsets[row + 1]]
+            low = np.searchsorted(sorted_values, own, "left")
+            count = np.searchsorted(sorted_values, own, "right") - low
+            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            shared = np.bincount(owners[at], minlength=len(size))[known]
+            alike = shared * 100 >= (size[row] + size[known] - shared) * percent
+            for other in np.unique(label[known[alike]]).tolist():
+                one, two = find(int(label[row])), find(other)
+                if one != two:
+                    root[max(one, two)] = min(one, two)
+                    out.append((int(label[row]), other))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return links
+
+
 def _sets_of(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """The shingle sets of some documents; repeated rows are folded first."""
     wanted = small_side(nodes.withColumnRenamed("node", "doc_id"), 8)
@@ -262,18 +349,22 @@ def _sets_of(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
 def _close(pairs: DataFrame, sigs: DataFrame, percent: int, distance: int) -> DataFrame:
     """Pairs whose sizes and signatures allow the similarity."""
-    a = sigs.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
-    b = sigs.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
-    both = pairs.join(a, "a").join(b, "b")
-    sized = both.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    for end in ("a", "b"):
+        own = (F.col(c).alias(f"{c}_{end}") for c in ("n", "sig"))
+        pairs = pairs.join(sigs.select(F.col("node").alias(end), *own), end)
+    sized = pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     apart = arrow_udf(_distance, "int")("sig_a", "sig_b")
     return sized.where(apart <= distance).select("a", "b").distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(b, "b").join(a, "a").where(_alike(percent)).select("a", "b")
+    """Pairs whose full sets are alike. Sets meet under the key of their pair, so one
+    that is in many pairs does not make a large partition."""
+    one, two = (
+        pairs.join(sets.select(F.col("node").alias(end), F.col("set").alias(f"set_{end}")), end)
+        for end in ("a", "b")
+    )
+    return one.join(two, ["a", "b"]).where(_alike(percent)).select("a", "b").distinct()
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
