@@ -28,7 +28,7 @@ from docstrata.llm.words import Hasher, Words, alphanumeric, buffers, chunks
 
 WINDOW = 13
 COVERAGE = 20
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 1 << 20
 SEED = 0x0BEC
 
 _FOUND = "struct<n_words:bigint,spans:array<struct<first:bigint,last:bigint>>,items:array<string>>"
