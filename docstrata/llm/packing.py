@@ -40,26 +40,29 @@ TOKENIZER = "byte_bpe_50k"
 
 
 @functools.cache
-def _encoders(name: str):
-    import tiktoken
+def _exact(name: str):
     from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+    return Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+
+
+@functools.cache
+def _fast(name: str):
+    import tiktoken
+
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    fast = tiktoken.Encoding(
+    return tiktoken.Encoding(
         name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
-    return exact, fast
 
 
 def encode(text: str | None, name: str = TOKENIZER) -> np.ndarray:
     """The ids of a text and the end token."""
-    exact, fast = _encoders(name)
     if text and SPECIAL in text:
-        ids = exact.encode(text, add_special_tokens=False).ids
+        ids = _exact(name).encode(text, add_special_tokens=False).ids
     else:
-        ids = fast.encode_ordinary(text or "")
+        ids = _fast(name).encode_ordinary(text or "")
     ids.append(END)
     return np.array(ids, dtype="<u4")
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 MASK = (1 << 64) - 1
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
