@@ -3,21 +3,30 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docstrata.sources.scratch import scratch_path
+from docstrata.sources.tables import delete
 
 BROADCAST_BYTES = 64 << 20
+ARROW_BYTES = 4 << 20
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def reachable(spark: SparkSession) -> None:
     """Lets the Python workers of a local session import this package, wherever the
-    session was started; on a cluster the package is installed."""
+    session was started; on a cluster the package is installed.  Arrow batches of texts
+    are bounded by their bytes, in the JVM and in its workers, not by a number of rows.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+    limit = re.sub(r"\D", "", spark.conf.get(_ARROW_LIMIT))
+    if int(limit or 0) == 0 or int(limit) > ARROW_BYTES:
+        spark.conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -79,11 +88,6 @@ class Scratch:
         self.drop(*(t for t, _ in self.written if not any(t is k for k in tables)))
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def small_side(df: DataFrame, row_bytes: int | Column) -> DataFrame:
     """A checkpointed table as the side of a join: broadcast where its measured size
     is below the bound, shuffled like any other beyond it."""
@@ -95,7 +99,6 @@ def small_side(df: DataFrame, row_bytes: int | Column) -> DataFrame:
 __all__ = [
     "BROADCAST_BYTES",
     "Scratch",
-    "delete",
     "disclose",
     "enclose",
     "inner",
