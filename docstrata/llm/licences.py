@@ -9,7 +9,7 @@ Lines are looked up before anything is shuffled, so only lines that are known no
 leave their task, whichever document they are from.
 
 Defined cases: a null or empty text, or one of copyright lines only, matches nothing;
-repeated rows each get their result; rows that share a doc_id share their notices;
+repeated rows each get their result, also where rows share a doc_id;
 licences that are equal in canonical form are reported under the first name.
 """
 
@@ -105,23 +105,30 @@ software.
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|by )|\(c\)[ \t]*[0-9]|©|all rights reserved)[^\n]*$"
-BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{A0}\x{2010}-\x{201F}\x{2022}\x{2026}]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# ASCII punctuation, blanks other than line feeds, and typographic signs become blanks.
+PUNCTUATION = "\t\x0b\x0c\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u00a0" + "".join(
+    map(chr, [*range(0x2010, 0x2020), 0x2022, 0x2026])
+)
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COPYRIGHT_LINE = r"(?m)^ *(?:copyright *(?:c |©|[0-9]{4}|by )|c +[0-9]{4}|©|all rights reserved)[^\n]*$"
 
 
-def canonical(text: Column) -> Column:
-    """The form in which licences are compared."""
-    out = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    out = F.regexp_replace(out, F.lit(COPYRIGHT_LINE), F.lit(" "))
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, F.lit(BETWEEN_WORDS), F.lit(" "))), F.lit(" "))
+def canonical_lines(text: Column) -> Column:
+    """The lines of a text in the form in which licences are compared, without empty
+    ones."""
+    out = F.translate(F.coalesce(text, F.lit("")), UPPER + PUNCTUATION, LOWER + " " * len(PUNCTUATION))
+    out = F.regexp_replace(out, F.lit(COPYRIGHT_LINE), F.lit(""))
+    out = F.concat(F.lit(" "), F.replace(out, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
+    out = F.regexp_replace(out, F.lit(" {2,}"), F.lit(" "))
     for other, kept in SPELLINGS:
         out = F.replace(out, F.lit(f" {other} "), F.lit(f" {kept} "))
-    return F.trim(out)
+    lines = F.transform(F.split(out, "\n"), lambda line: F.trim(line))
+    return F.filter(lines, lambda line: line != "")
 
 
-def digest(canon: Column) -> Column:
-    return F.when(canon != "", F.sha2(canon, 256))
+def digest(lines: Column) -> Column:
+    """Of an entire text given by its lines; NULL if there is none."""
+    return F.when(F.size(lines) > 0, F.sha2(F.array_join(lines, " "), 256))
 
 
 def known_texts() -> list[tuple[str, str]]:
@@ -140,21 +147,33 @@ def known_digests(spark: SparkSession, texts: DataFrame | None = None) -> DataFr
     if texts is None:
         rows = F.array(*(F.struct(F.lit(n).alias("licence"), F.lit(t).alias("text")) for n, t in known_texts()))
         texts = spark.range(1).select(F.inline(rows))
-    form = pick(texts, "licence", "text").select("licence", digest(canonical(F.col("text"))).alias("digest"))
+    lines = pick(texts, "licence", "text").select("licence", canonical_lines(F.col("text")).alias("lines"))
+    form = lines.select("licence", digest(F.col("lines")).alias("digest"))
     return form.where("digest IS NOT NULL").groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """For each document the digest and licence of its entire text and the sorted names
-    in its one-line notices: doc_id, digest, licence, notices."""
+    in its one-line notices: doc_id, digest, licence, notices.
+
+    Texts are read once: their own digest and those of their lines meet the known ones
+    in one join, and what is not a known notice ends there.
+    """
     known = known_digests(docs.sparkSession, texts)
     known = F.broadcast(known) if texts is None else small_side(known, 128)
-    rows = pick(docs, "doc_id", "text")
-    lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("doc_id", digest(canonical(F.col("line"))).alias("digest"))
-    notices = lines.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("licence")).alias("_n"))
-    whole = rows.select("doc_id", digest(canonical(F.col("text"))).alias("digest")).join(known, "digest", "left")
-    notices = notices.select(F.col("doc_id").alias("_id"), "_n")
-    return whole.join(notices, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
-        "doc_id", "digest", "licence", F.coalesce("_n", F.array().cast("array<string>")).alias("notices")
+    rows = pick(docs, "doc_id", "text").select("doc_id", canonical_lines(F.col("text")).alias("lines"))
+    rows = rows.select("doc_id", "lines", digest(F.col("lines")).alias("whole"))
+    one = F.struct(F.col("whole").alias("digest"), F.lit(True).alias("entire"))
+    each = F.transform(
+        "lines", lambda line: F.struct(F.sha2(line, 256).alias("digest"), F.lit(False).alias("entire"))
+    )
+    looked_up = rows.select("doc_id", "whole", F.inline(F.concat(F.array(one), each)))
+    met = looked_up.join(known, "digest", "left").where("entire OR licence IS NOT NULL")
+    found = met.groupBy("doc_id", F.col("whole").alias("digest")).agg(
+        F.max(F.when(F.col("entire"), F.col("licence"))).alias("licence"),
+        F.array_sort(F.collect_set(F.when(~F.col("entire"), F.col("licence")))).alias("notices"),
+        F.count_if("entire").alias("copies"),
     )
+    return found.select(
+        "doc_id", "digest", "licence", "notices", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")
+    ).drop("copy")

@@ -257,29 +257,33 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licence_sql() -> str:
-    def canonical(text: str) -> str:
-        out = f"translate(coalesce({text}, ''), '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
-        out = f"regexp_replace({out}, '{licences.COPYRIGHT_LINE}', ' ', 'g')"
-        out = f"' ' || trim(regexp_replace({out}, '{licences.BETWEEN_WORDS}', ' ', 'g')) || ' '"
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def lines(text: str) -> str:
+        source = quoted(licences.UPPER + licences.PUNCTUATION)
+        target = quoted(licences.LOWER + " " * len(licences.PUNCTUATION))
+        out = f"translate(coalesce({text}, ''), {source}, {target})"
+        out = f"regexp_replace({out}, '{licences.COPYRIGHT_LINE}', '', 'g')"
+        out = f"' ' || replace({out}, chr(10), ' ' || chr(10) || ' ') || ' '"
+        out = f"regexp_replace({out}, ' {{2,}}', ' ', 'g')"
         for other, kept in licences.SPELLINGS:
             out = f"replace({out}, ' {other} ', ' {kept} ')"
-        return f"trim({out})"
+        trimmed = f"list_transform(string_split({out}, chr(10)), lambda l: trim(l))"
+        return f"list_filter({trimmed}, lambda l: l <> '')"
 
-    quoted = [(n.replace("'", "''"), t.replace("'", "''")) for n, t in licences.known_texts()]
-    known = ", ".join(f"('{n}', '{t}')" for n, t in quoted)
+    known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licences.known_texts())
     return f"""
 WITH texts(licence, text) AS (VALUES {known}),
 known AS (
-  SELECT sha256(c) AS digest, min(licence) AS licence
-  FROM (SELECT licence, {canonical("text")} AS c FROM texts) WHERE c <> '' GROUP BY 1),
+  SELECT sha256(array_to_string(l, ' ')) AS digest, min(licence) AS licence
+  FROM (SELECT licence, {lines("text")} AS l FROM texts) WHERE len(l) > 0 GROUP BY 1),
+split AS (SELECT doc_id, {lines("text")} AS l FROM documents),
 whole AS (
-  SELECT doc_id, CASE WHEN c <> '' THEN sha256(c) END AS digest
-  FROM (SELECT doc_id, {canonical("text")} AS c FROM documents)),
-lines AS (
-  SELECT doc_id, sha256({canonical("line")}) AS digest
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+  SELECT doc_id, CASE WHEN len(l) > 0 THEN sha256(array_to_string(l, ' ')) END AS digest FROM split),
+each AS (SELECT doc_id, sha256(line) AS digest FROM (SELECT doc_id, unnest(l) AS line FROM split)),
 notices AS (
-  SELECT doc_id, list_sort(list(DISTINCT licence)) AS n FROM lines JOIN known USING (digest) GROUP BY 1)
+  SELECT doc_id, list_sort(list(DISTINCT licence)) AS n FROM each JOIN known USING (digest) GROUP BY 1)
 SELECT doc_id, w.digest, licence, coalesce(array_to_string(n, ';'), '') AS notices
 FROM whole w LEFT JOIN known USING (digest) LEFT JOIN notices USING (doc_id)
 """
