@@ -17,8 +17,9 @@ size that emit links instead of pairs. So no pair of different components is lef
 
 Defined cases: a text without words, or null, has no shingles and is linked with
 nothing; a text with fewer words than a shingle has its whole sequence as the only
-one; rows that share a doc_id are one document, linked where any of its texts is; a
-row without doc_id gets the component of its class, if there is one, and links nothing.
+one; rows that share a doc_id are one document, linked where any of its texts is,
+so its classes are linked from the start and all its rows have one component; a row
+without doc_id gets the component of its class, if there is one, and links nothing.
 """
 
 from __future__ import annotations
@@ -211,45 +212,70 @@ def near_duplicates(
     scratch = Scratch(docs.sparkSession, "near")
     texts = pick(docs, "doc_id", "text")
     mark = _marks(words, chunk_count * slots)("text").alias("_m")
-    marks = scratch.write(texts.select("doc_id", mark).select("doc_id", "_m.*"))
+    marks = scratch.write(texts.select("doc_id", F.xxhash64("text").alias("h"), mark).select("doc_id", "h", "_m.*"))
     own = marks.where("n > 0 AND doc_id IS NOT NULL")
+    classes = own.groupBy("n", "f1", "f2").agg(
+        F.min(F.struct("doc_id", "h")).alias("least"), F.first("sig").alias("sig")
+    )
     classes = scratch.write(
-        own.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"))
+        classes.select("n", "f1", "f2", "least.*", "sig", F.monotonically_increasing_id().alias("node"))
     )
+    owned = _owned(scratch, marks, classes)
     entries = classes.select("node", "sig").mapInArrow(
         _index(chunk_count, slots, errors), "node bigint, key bigint"
     )
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     members = scratch.write(entries.join(shared, "key").select("key", "node"))
     nodes = scratch.write(members.select("node").distinct())
-    light = Light(nodes)
-    sets = scratch.write(_sets_of(texts, nodes, words))
+    sets = scratch.write(_sets_of(texts, classes.join(nodes, "node", "left_semi"), words))
+    grouped = scratch.write(nodes.unionByName(owned.select("node")).distinct())
+    light = Light(grouped)
     sigs = scratch.write(classes.join(light(nodes), "node", "left_semi").select("node", "n", "sig"))
-    labels = scratch.write(nodes.select("node", F.col("node").alias("label")))
+    labels = scratch.write(grouped.select("node", F.col("node").alias("label")))
+    firsts = scratch.write(owned.groupBy("doc_id").agg(F.min("node").alias("a")))
+    same = owned.join(small_side(firsts, 16), "doc_id").select("a", F.col("node").alias("b"))
     members = _open_entries(scratch, members, labels, light)
     heads = scratch.write(members.groupBy("key").agg(F.min("node").alias("head")))
     found = members.join(small_side(heads, 16), "key").where("node <> head")
     pairs = found.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     pairs = small_side(scratch.write(_close(pairs, light(sigs), percent, distance)), 16)
-    labels = merge_labels(scratch, labels, _confirmed(pairs, sets, percent), light)
+    alike = _confirmed(pairs, sets, percent).unionByName(same)
+    labels = merge_labels(scratch, labels, alike, light)
     rest = members.join(small_side(heads, 16), "key").where("node <> head").select("key", "node")
     rest = _open_entries(scratch, rest, labels, light)
     links = scratch.write(_within_entries(scratch, rest, sigs, sets, light, percent))
     labels = merge_labels(scratch, labels, links, light)
+    merged = labels.join(classes.select("node", "doc_id"), "node")
+    least = scratch.write(merged.groupBy("label").agg(F.min("doc_id").alias("component_id")))
+    merged = scratch.write(labels.join(light(least), "label").select("node", "component_id"))
     of_class = scratch.write(
-        classes.join(labels, "node", "left").select(
-            "n", "f1", "f2", F.coalesce("label", "node").alias("component_id")
+        classes.join(merged, "node", "left").select(
+            "n", "f1", "f2", F.coalesce("component_id", "doc_id").alias("of_class")
         )
     )
-    scratch.keep_only(marks, of_class)
-    return marks.join(of_class, ["n", "f1", "f2"], "left").select(
+    of_doc = firsts.join(merged.withColumnRenamed("node", "a"), "a")
+    of_doc = scratch.write(of_doc.select("doc_id", F.col("component_id").alias("of_doc")))
+    scratch.keep_only(marks, of_class, of_doc)
+    component = F.coalesce("of_doc", "of_class", "doc_id")
+    found = marks.join(of_class, ["n", "f1", "f2"], "left").join(small_side(of_doc, 16), "doc_id", "left")
+    return found.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
 
 
+def _owned(scratch: Scratch, marks: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (doc_id, node) of the documents whose rows are not all of one class."""
+    parts = ("n", "f1", "f2")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in parts for f in (F.min, F.max)]
+    apart = marks.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends)
+    apart = scratch.write(apart.where(" OR ".join(f"min_{c} < max_{c}" for c in parts)).select("doc_id"))
+    rows = marks.where("n > 0").join(small_side(apart, 8), "doc_id").select("doc_id", *parts).distinct()
+    return scratch.write(rows.join(classes.select(*parts, "node"), list(parts)).select("doc_id", "node"))
+
+
 def _open_entries(scratch: Scratch, members: DataFrame, labels: DataFrame, light: Light) -> DataFrame:
     """The members (key, node, label) of entries that hold several components."""
     labelled = members.select("key", "node").join(light(labels), "node").select("key", "node", "label")
@@ -339,12 +365,13 @@ def _links_of(percent: int):
     return links
 
 
-def _sets_of(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """The shingle sets of some documents; repeated rows are folded first."""
-    wanted = small_side(nodes.withColumnRenamed("node", "doc_id"), 8)
-    own = texts.join(wanted, "doc_id", "left_semi").withColumn("_h", F.xxhash64("text"))
-    own = own.groupBy("doc_id", "_h").agg(F.first("text").alias("text"))
-    return own.select(F.col("doc_id").alias("node"), _set_arrays(words)("text").alias("set"))
+def _sets_of(texts: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """The shingle set of each of some classes, from one of its texts; repeated rows are
+    folded first."""
+    wanted = small_side(classes.select("doc_id", "h", "node"), 24)
+    own = texts.withColumn("h", F.xxhash64("text")).join(wanted, ["doc_id", "h"])
+    own = own.groupBy("doc_id", "h", "node").agg(F.first("text").alias("text"))
+    return own.select("node", _set_arrays(words)("text").alias("set"))
 
 
 def _close(pairs: DataFrame, sigs: DataFrame, percent: int, distance: int) -> DataFrame:

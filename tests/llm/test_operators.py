@@ -313,6 +313,42 @@ def test_near_duplicate_edges(docs):
     assert neardup.near_duplicates(docs([])).count() == 0
 
 
+def test_rows_that_share_a_doc_id_are_one_document(docs):
+    a, b, c = ("one two three four five", "six seven eight nine ten", "eleven twelve thirteen")
+    rows = [(1, a), (2, a), (2, b), (3, b), (2, None), (5, c), (4, ""), (4, c), (9, "x y"), (9, "z"), (None, b)]
+    got = [tuple(r) for r in neardup.near_duplicates(docs(rows), words=2).collect()]
+    component = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 9: 9, None: 1}
+    n = {a: 4, b: 4, c: 2, "x y": 1, "z": 1, "": 0, None: 0}
+    assert ranks(got) == ranks((d, n[t], component[d], d in (1, 4, 9, None)) for d, t in rows)
+    kept = neardup.representatives(docs(rows), words=2).collect()
+    assert ranks((r["doc_id"], r["text"]) for r in kept) == ranks(r for r in rows if r[0] in (1, 4, 9, None))
+
+
+def test_shared_doc_ids_are_those_of_brute_force(docs):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choices(words, k=40) for _ in range(30)]
+    rows = []
+    for _ in range(120):
+        text = list(rng.choice(base))
+        text[rng.randrange(40)] = rng.choice(words)
+        rows.append((rng.randrange(200), rng.choice([" ".join(text)] * 9 + [""])))
+    whole = components(rows, 2, 80)
+    parent = {d: d for d, _ in rows}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for d, _, component, _ in whole:
+        one, two = find(d), find(component)
+        parent[max(one, two)] = min(one, two)
+    want = ranks((d, n, find(d), d == find(d)) for d, n, _, _ in whole)
+    assert want != whole
+    assert ranks(tuple(r) for r in neardup.near_duplicates(docs(rows), words=2).collect()) == want
+
+
 # --- substrings --------------------------------------------------------------
 
 
