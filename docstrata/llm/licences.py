@@ -15,6 +15,9 @@ licences that are equal in canonical form are reported under the first name.
 
 from __future__ import annotations
 
+import pathlib
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docstrata.llm.tables import pick, small_side
@@ -103,7 +106,60 @@ required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
 software.
 3. This notice may not be removed or altered from any source distribution.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+}
+TEXTS["BSD-3-Clause"] = TEXTS["BSD-2-Clause"].replace(
+    "distribution.\n",
+    """distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+""",
+)
+# Title lines that files put above these texts.
+TITLES = {
+    "MIT": ("MIT License", "MIT License (MIT)", "The MIT License", "The MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "ISC License (ISC)", "ISC License (ISCL)", "The ISC License", "The ISC License (ISC)", "ISC"),
+    "0BSD": (
+        "0BSD",
+        "BSD Zero Clause License",
+        "BSD Zero Clause License (0BSD)",
+        "Zero-Clause BSD",
+        "Zero-Clause BSD License",
+    ),
+    "Zlib": ("zlib", "zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+    "BSD-2-Clause": (
+        "BSD License",
+        "BSD 2-Clause",
+        "BSD 2-Clause License",
+        "The BSD 2-Clause License",
+        'BSD 2-Clause "Simplified" License',
+        "Simplified BSD License",
+    ),
+    "BSD-3-Clause": (
+        "BSD License",
+        "BSD 3-Clause",
+        "BSD 3-Clause License",
+        "The BSD 3-Clause License",
+        'BSD 3-Clause "New" or "Revised" License',
+        "Modified BSD License",
+        "New BSD License",
+        "Revised BSD License",
+    ),
 }
+# The entire files of long licences, title lines included, by name.
+FILES = pathlib.Path(__file__).with_name("licence_texts")
 
 # ASCII punctuation, blanks other than line feeds, and typographic signs become blanks.
 PUNCTUATION = "\t\x0b\x0c\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u00a0" + "".join(
@@ -132,14 +188,27 @@ def digest(lines: Column) -> Column:
 
 
 def known_texts() -> list[tuple[str, str]]:
-    """Built-in licences: (name, text), entire texts and one-line notices."""
+    """Built-in licences: (name, text), entire texts with and without a title line, and
+    one-line notices."""
+    forms = [(name, form) for name, text in TEXTS.items() for form in wordings(name, text)]
+    titled = [(name, f"{title}\n{form}") for name, form in forms for title in TITLES[name]]
+    files = [(f.stem, f.read_text(encoding="utf-8")) for f in sorted(FILES.glob("*.txt"))]
     notices = [
         (name, notice.format(article + name))
         for name in NAMED
         for notice in NOTICES
         for article in ("", "the ")
     ]
-    return [*TEXTS.items(), *notices]
+    return [*forms, *titled, *files, *notices]
+
+
+def wordings(name: str, text: str) -> list[str]:
+    """A text in its usual wordings: the BSD licences with numbers or bullets, and with
+    the holder or the owner of the copyright not liable."""
+    if not name.startswith("BSD-"):
+        return [text]
+    both = [text, re.sub(r"(?m)^[0-9]\. ", "* ", text)]
+    return [*both, *(t.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR") for t in both)]
 
 
 def known_digests(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:

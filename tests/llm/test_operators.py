@@ -587,6 +587,26 @@ def test_licences(docs):
     assert "Python" not in licences.scan(docs(rows))._jdf.queryExecution().toString()
 
 
+def test_licence_files_with_their_titles(docs):
+    texts = licences.TEXTS
+    want = {
+        "MIT License\n\nCopyright (c) 2020 Someone\n\n" + texts["MIT"]: "MIT",
+        "The MIT License (MIT)\n\nCopyright © 2020 A\n\n" + texts["MIT"].replace("\n", " "): "MIT",
+        "ISC License\n\nCopyright 2019, B\n\n" + texts["ISC"]: "ISC",
+        "zlib License\n\n(C) 2011 C\n\n" + texts["Zlib"]: "Zlib",
+        "BSD Zero Clause License\n" + texts["0BSD"]: "0BSD",
+        "BSD 2-Clause License\n\nCopyright (c) 2020, D\nAll rights reserved.\n\n" + texts["BSD-2-Clause"]: "BSD-2-Clause",
+        "Copyright (c) 2020, E\n" + re.sub(r"(?m)^\d\.", " *", texts["BSD-3-Clause"]): "BSD-3-Clause",
+        texts["MIT"] + "\nMIT License": None,
+        "MIT License": None,
+    }
+    for file in sorted(licences.FILES.glob("*.txt")):
+        want[re.sub(" +", "  ", file.read_text(encoding="utf-8"))] = file.stem
+    assert len(want) == 14
+    got = licences.scan(docs(list(enumerate(want)))).collect()
+    assert {r["doc_id"]: r["licence"] for r in got} == dict(enumerate(want.values()))
+
+
 def test_licences_given_as_a_table(spark, docs):
     known = spark.createDataFrame([("Own", "My own licence!", 1)], "licence string, text string, digest int")
     got = licences.scan(docs([(1, "my OWN license"), (2, "other")]), known).collect()
