@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docstrata.llm import (
+    centroids,
     chat,
     decontaminate,
+    languages,
+    lexical,
     licences,
     neardup,
     packing,
@@ -293,3 +296,83 @@ FROM whole w LEFT JOIN known USING (digest) LEFT JOIN notices USING (doc_id)
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(table(spark, sf_dir, "documents"))
     return found.withColumn("notices", F.array_join("notices", ";"))
+
+
+@query("op11_language")
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    model = languages.train(docs, ~languages.held_out())
+    found = languages.identify_languages(docs.drop("lang"), model)
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    "op12_lexical",
+    r"""
+WITH documents_ AS (SELECT row_number() OVER () AS d, doc_id, text FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, text FROM benchmark),
+terms AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents_),
+asked AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM items),
+sizes AS (SELECT d, count(*) AS n FROM terms GROUP BY 1),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM sizes),
+held AS (SELECT d, doc_id, t, count(*) AS tf FROM terms WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM held GROUP BY 1), total),
+impacts AS (
+  SELECT d, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // l))) AS impact
+  FROM held JOIN weights USING (t) JOIN sizes USING (d), total),
+scores AS (
+  SELECT i, item_id, d, doc_id, sum(impact)::BIGINT AS score FROM impacts JOIN asked USING (t) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+""",
+)
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _centroid_sql() -> str:
+    k, rounds, scale, seed = centroids.CLUSTERS, centroids.ROUNDS, centroids.SCALE, centroids.SEED
+
+    def nearest(i: int) -> str:
+        return f"""
+nearest_{i} AS MATERIALIZED (
+  SELECT n, min(d * {k} + c) % {k} AS c, min(d * {k} + c) // {k} AS d FROM (
+    SELECT n, c, sum((v.x - z.x) * (v.x - z.x))::HUGEINT AS d
+    FROM component v JOIN centre_{i} z USING (p) GROUP BY 1, 2) GROUP BY 1)"""
+
+    def moved(i: int) -> str:
+        return f"""
+centre_{i + 1} AS MATERIALIZED (
+  SELECT c, p, coalesce(m.x, z.x) AS x FROM centre_{i} z LEFT JOIN (
+    SELECT c, p, (s - ((s % m) + m) % m) // m AS x
+    FROM (SELECT c, p, sum(x)::HUGEINT AS s, count(*) AS m FROM component JOIN nearest_{i} USING (n) GROUP BY 1, 2)
+  ) m USING (c, p))"""
+
+    steps = ",".join(nearest(i) + "," + moved(i) for i in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+component AS MATERIALIZED (SELECT n, generate_subscripts(e, 1) AS p, unnest(e) AS x FROM kept),
+centre_0 AS MATERIALIZED (
+  SELECT c, generate_subscripts(e, 1) AS p, unnest(e) AS x FROM (
+    SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, e) - 1 AS c, e FROM kept) WHERE c < {k}),
+{steps},{nearest(rounds)},
+digests AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY p)) AS digest FROM centre_{rounds} GROUP BY 1)
+SELECT vec_id, c::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, digest AS centroid_sha256
+FROM kept JOIN nearest_{rounds} USING (n) JOIN digests USING (c)
+"""
+
+
+@query("op13_centroids", _centroid_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))

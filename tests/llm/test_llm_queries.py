@@ -27,7 +27,7 @@ def duck():
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_point.queries())
     assert set(queries.SQL) <= set(entry_point.oracle_sql())
 
@@ -45,7 +45,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_queries_without_sql_cover_every_document(spark):
     ids = {r[0] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").collect()}
-    for name in ("op1_quality", "op3_pack"):
+    for name in ("op1_quality", "op3_pack", "op11_language"):
         assert {r["doc_id"] for r in queries.QUERIES[name](spark, SF_DIR).collect()} == ids
 
 
