@@ -14,6 +14,7 @@ from docstrata.operators.filters import list_dockets, preview, restrict_to_proje
 from docstrata.operators.flatten import flatten, flatten_nested, flatten_object, to_key_value
 from docstrata.operators.latest import latest_per_key, latest_view
 from docstrata.operators.quality import (
+    estimated_keys,
     freshness,
     ingestion_audit,
     key_violations,
@@ -42,6 +43,7 @@ from docstrata.sources.tables import (
 )
 from docstrata.spec import FieldSpec, PipelineSpec, delivery_spec
 from docstrata.streaming.incremental import run_incremental_ingest
+from docstrata.streaming.stream import run_stream_ingest
 
 __all__ = [
     "FieldSpec",
@@ -57,6 +59,7 @@ __all__ = [
     "convert_zone",
     "delivery_spec",
     "discover_files",
+    "estimated_keys",
     "extract",
     "fingerprints",
     "flatten",
@@ -89,6 +92,7 @@ __all__ = [
     "restrict_to_projects",
     "row_hash",
     "run_incremental_ingest",
+    "run_stream_ingest",
     "stamp_ingestion",
     "to_key_value",
     "validate_master",

@@ -19,11 +19,13 @@ def list_dockets(
     project_col: str = "PROJECT_ID",
     date_col: str = "ORDER_DATE",
     customer_col: str = "CUSTOMER_ORDER_ID",
+    day_col: str = "order_day",
 ) -> DataFrame:
     """Rows of one project with an order date in the two days and all between.
 
     ``customer_order_id=""`` means any.  The dates are a range on the column
-    itself, so the filter reaches the file scan.
+    itself, so the filter reaches the file scan; a ``day_col``, where there is one, is
+    restricted too, so a master laid out by day is read in the folders of those days.
     """
     after = dt.date.fromisoformat(str(date_to)) + dt.timedelta(days=1)
     rows = df.where(
@@ -31,6 +33,8 @@ def list_dockets(
         & (F.col(date_col) >= F.lit(str(date_from)).cast("timestamp_ntz"))
         & (F.col(date_col) < F.lit(str(after)).cast("timestamp_ntz"))
     )
+    if day_col in df.columns:
+        rows = rows.where(F.col(day_col).between(F.lit(str(date_from)).cast("date"), F.lit(str(date_to)).cast("date")))
     return rows.where(F.col(customer_col) == customer_order_id) if customer_order_id else rows
 
 

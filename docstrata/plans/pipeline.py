@@ -19,12 +19,19 @@ from docstrata.sources.files import read_raw
 from docstrata.sources.scratch import durable
 from docstrata.sources.tables import (
     AUDIT_SCHEMA,
+    Batch,
     Tables,
+    delete,
+    layout_of,
+    live_batches,
     next_batch,
     read_audit,
+    read_batches,
     read_master,
     read_rejects,
+    remove_dead,
     remove_superseded,
+    write_master,
     write_table,
 )
 from docstrata.spec import PipelineSpec
@@ -113,6 +120,7 @@ def commit_batch(
     ingestion_ts: dt.datetime | None = None,
     foreign: DataFrame | None = None,
     replaces: bool = False,
+    stream_batch: int | None = None,
 ) -> int:
     """Ingest one batch of raw texts into the tables; returns its number.
 
@@ -121,10 +129,14 @@ def commit_batch(
     under the same number and replaces what the first attempt left.  The landing table
     holds the parsed documents of the latest batch; everything after the parse reads it.
     ``foreign`` lists files that are none of the pipeline's, for the audit.  With
-    ``replaces`` the batch takes the place of all before it.
+    ``replaces`` the batch takes the place of all before it.  ``stream_batch`` is the
+    number a stream has for it, for the audit.
     """
     spark = raw.sparkSession
     batch_id = next_batch(spark, tables)
+    before = [] if replaces else live_batches(spark, tables)
+    # What a failed merge of this number left must not count for this batch.
+    delete(spark, f"{tables.dead}/batch_id={batch_id}")
     stamp = ingestion_ts or now_in_zone(spec.zone)
     parsed = parsed_texts(_with_files(raw), spec, on_error).withColumn(
         "text", F.when(F.col("_docs").isNull(), F.col("text"))
@@ -137,16 +149,51 @@ def commit_batch(
         documents = number_lines(documents)
     flat = rows_of_parsed(documents, spec)
     rows = batch_rows(flat, spec, mode, stamp).select(*spec.master_schema().names)
-    write_table(rows, f"{tables.master}/batch_id={batch_id}")
+    folder = f"{tables.master}/batch_id={batch_id}"
+    write_master(rows, spec, folder)
+    resolved = mode == "merge" and all(b.resolved for b in before)
+    if mode == "merge" and before:
+        merge_files(spark, spec, tables, before, batch_id)
 
     rejects = landed.where(F.col("text").isNotNull())
     rejects = rejects.select("source_filename", "file_modified_at", "text")
     write_table(rejects, f"{tables.rejects}/batch_id={batch_id}")
     audit = _audit(landed, flat, foreign, spec, stamp, replaces)
-    write_table(audit, f"{tables.audit}/batch_id={batch_id}")
+    audit = audit.withColumns(
+        {
+            "resolved": F.lit(resolved),
+            "stream_batch": F.lit(stream_batch).cast("long"),
+            "master_schema": F.lit(layout_of(spec)),
+        }
+    )
+    columns = [f.name for f in AUDIT_SCHEMA if f.name != "batch_id"]
+    write_table(audit.select(*columns), f"{tables.audit}/batch_id={batch_id}")
     return batch_id
 
 
+def merge_files(
+    spark: SparkSession, spec: PipelineSpec, tables: Tables, before: list[Batch], batch_id: int
+) -> None:
+    """Rewrites the master files that hold a natural key of a written batch.
+
+    The keys of the batch find the files, of which the other rows are written beside the
+    batch; all other files stay as they are.  The names of the rewritten files go to the
+    dead table, which counts once the audit has the batch, so readers see either all old
+    files or all new ones.  Files that an earlier merge rewrote are deleted now.
+    """
+    remove_dead(spark, tables)
+    keys = list(spec.natural_key)
+    folder = f"{tables.master}/batch_id={batch_id}"
+    batch = spark.read.schema(spec.master_schema()).parquet(folder).select(*keys)
+    live = read_batches(spark, spec, tables, before)
+    touched = live.join(batch, keys, "left_semi").select("file_name").distinct()
+    dead = f"{tables.dead}/batch_id={batch_id}"
+    write_table(touched, dead)
+    touched = spark.read.schema("file_name string").parquet(dead)
+    rest = live.join(F.broadcast(touched), "file_name", "left_semi").join(batch, keys, "left_anti")
+    write_master(rest.select(*spec.master_schema().names), spec, folder, "append")
+
+
 def number_lines(rows: DataFrame) -> DataFrame:
     """Lines numbered from 0 in their file instead of in their task.
 
@@ -179,14 +226,14 @@ def _audit(
         F.coalesce(F.sum(F.size("_docs")), F.lit(0)).alias("documents"),
         F.count_if(F.col("text").isNotNull()).alias("rejected"),
     )
-    counts = ingestion_audit(flat, spec.natural_key, "source_path")
+    counts = ingestion_audit(flat, spec.natural_key, "source_path", sketched=True)
     audit = files.join(counts, "source_path", "left").fillna(0, ["row_count", "distinct_keys"])
     if foreign is not None:
         none = {c: F.lit(0).cast("long") for c in ("documents", "rejected", "row_count", "distinct_keys")}
+        none["key_sketch"] = F.lit(None).cast("binary")
         others = foreign.withColumns({"status": F.lit("name_mismatch"), **none})
         audit = audit.unionByName(others.select(*audit.columns))
-    audit = stamp_ingestion(audit.withColumn("replaces", F.lit(replaces)), "ingestion_ts", spec.zone, stamp)
-    return audit.select(*(f.name for f in AUDIT_SCHEMA if f.name != "batch_id"))
+    return stamp_ingestion(audit.withColumn("replaces", F.lit(replaces)), "ingestion_ts", spec.zone, stamp)
 
 
 def ingest(
@@ -241,13 +288,26 @@ def compact(spark: SparkSession, spec: PipelineSpec, tables: Tables, merged: boo
     """Writes the master as one batch, ``merged`` without the rows that newer ones
     replaced, and deletes the folders of the batches before it."""
     batch_id = next_batch(spark, tables)
+    delete(spark, f"{tables.dead}/batch_id={batch_id}")
+    resolved = merged or all(b.resolved for b in live_batches(spark, tables))
     rows = read_master(spark, spec, tables, merged)
-    write_table(rows, f"{tables.master}/batch_id={batch_id}")
+    write_master(rows, spec, f"{tables.master}/batch_id={batch_id}")
     kept = read_rejects(spark, tables).drop("batch_id")
     write_table(kept, f"{tables.rejects}/batch_id={batch_id}")
-    marker = [(None, None, None, None, "compacted", 0, 0, 0, 0, now_in_zone(spec.zone), True)]
+    said = {
+        "status": "compacted",
+        "documents": 0,
+        "rejected": 0,
+        "row_count": 0,
+        "distinct_keys": 0,
+        "ingestion_ts": now_in_zone(spec.zone),
+        "replaces": True,
+        "resolved": resolved,
+        "master_schema": layout_of(spec),
+    }
     columns = T.StructType([f for f in AUDIT_SCHEMA if f.name != "batch_id"])
-    write_table(spark.createDataFrame(marker, columns), f"{tables.audit}/batch_id={batch_id}")
+    marker = spark.createDataFrame([tuple(said.get(f.name) for f in columns)], columns)
+    write_table(marker, f"{tables.audit}/batch_id={batch_id}")
     remove_superseded(spark, tables)
 
 

@@ -22,6 +22,8 @@ ENGINE_COLUMNS = (
     "document_pos",
     "element_pos",
     "batch_id",
+    "order_day",
+    "file_name",
 )
 
 TIMESTAMP_TYPES = ("timestamp_ntz", "timestamp")
@@ -59,7 +61,8 @@ class PipelineSpec:
     """Where the rows are in the document and which keys identify them.
 
     ``provenance`` adds file name, file time, line, and the positions of the document
-    in its array and of the elements in theirs to the master.
+    in its array and of the elements in theirs to the master.  ``day_col`` names a time
+    column by whose day the master is laid out in folders.
     """
 
     root: str
@@ -74,6 +77,7 @@ class PipelineSpec:
     name_regex: str = r"\.json$"
     name_glob: str = "*.json"
     provenance: bool = False
+    day_col: str | None = None
 
     def __post_init__(self) -> None:
         names = [f.name for f in self.fields]
@@ -85,6 +89,8 @@ class PipelineSpec:
         unknown = {*self.natural_key, *self.view_key, *self.version_key} - set(names)
         if unknown:
             raise ValueError(f"keys without a field: {sorted(unknown)}")
+        if self.day_col is not None and self.day_col not in names:
+            raise ValueError(f"day_col {self.day_col!r} is not a field")
 
     def with_field(self, *fields: FieldSpec) -> PipelineSpec:
         """The same pipeline with more columns (schema evolution)."""

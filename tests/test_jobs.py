@@ -1,0 +1,333 @@
+"""The daily job in its two forms, the manifest, and how batches get into the master."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import shutil
+from dataclasses import replace
+from pathlib import Path
+
+import pytest
+from conftest import same_rows
+from pyspark.sql import functions as F
+from test_pipeline import SPEC, Job, document
+
+import docstrata as ds
+from docstrata.plans import pipeline
+from docstrata.sources import files
+from docstrata.sources.tables import live_batches, read_dead
+from docstrata.streaming import archive, manifest, stream
+
+
+class StreamJob(Job):
+    def run(self, **options):
+        audit = ds.run_stream_ingest(
+            self.spark, SPEC, str(self.source), self.tables, str(self.root / "checkpoint"), self.mode, self.layout, **options
+        )
+        return {r["source_filename"]: r for r in audit.collect()}
+
+
+# --- streams ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("layout", ["document", "lines"])
+def test_stream_loads_each_file_once(spark, tmp_path, layout):
+    job = StreamJob(spark, tmp_path, "append", layout)
+    assert job.run() == {}
+    job.put("site_data_1_1.json", document("o", "a"))
+    job.put("site_data_2_2.json", document("o", "b"), age=90 * 86_400)
+    job.put("other.json", b"not ours")
+    audit = job.run()
+    assert {n: a["status"] for n, a in audit.items()} == {
+        "site_data_1_1.json": "loaded",
+        "site_data_2_2.json": "loaded",
+        "other.json": "name_mismatch",
+    }
+    assert audit["site_data_1_1.json"]["stream_batch"] == 0 and audit["other.json"]["stream_batch"] is None
+    assert job.run() == {}
+    job.put("site_data_3_3.json", document("o", "c"), age=400 * 86_400)
+    assert job.run()["site_data_3_3.json"]["stream_batch"] == 1
+    job.put("site_data_1_1.json", document("o", "a", grade="again"), age=-5)
+    assert list(job.run()) == ["site_data_1_1.json"]
+    shutil.rmtree(tmp_path / "checkpoint")
+    assert job.run() == {}
+    assert job.dockets() == [("o", "a", "again"), ("o", "a", "g"), ("o", "b", "g"), ("o", "c", "g")]
+
+
+@pytest.mark.parametrize("mode", ["append_dedup", "merge"])
+@pytest.mark.parametrize("after", ["write_master", "_audit", "commit"])
+def test_stream_batch_that_died_is_loaded_once(spark, tmp_path, monkeypatch, mode, after):
+    job = StreamJob(spark, tmp_path, mode)
+    job.put("site_data_0_0.json", document("o", "z"))
+    job.run()
+    job.put("site_data_1_1.json", document("o", "a", "b"))
+    job.put("site_data_2_2.json", document("o", "c"))
+    where = stream if after == "commit" else pipeline
+    name = "commit_batch" if after == "commit" else after
+    work = getattr(where, name)
+
+    def fails(*args, **options):
+        work(*args, **options)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(where, name, fails)
+        with pytest.raises(Exception, match="driver lost"):
+            job.run(max_files_per_batch=1)
+    job.run(max_files_per_batch=1)
+    assert job.dockets() == [("o", d, "g") for d in "abcz"]
+    audit = ds.read_audit(spark, job.tables)
+    assert audit.groupBy("source_path").count().where("count > 1").isEmpty()
+
+
+def test_stream_archives_and_goes_on_without_the_files(spark, tmp_path):
+    job = StreamJob(spark, tmp_path, "append")
+    for n in range(3):
+        job.put(f"site_data_{n}_0.json", document("o", str(n)))
+        job.run(archive_dir=str(job.archive))
+    assert not list(job.source.iterdir())
+    assert len(list(job.archive.rglob("*.json"))) == 3 == len(job.dockets())
+
+
+# --- manifest and archive -----------------------------------------------------------
+
+
+def test_manifest_of_many_names_is_numbered_in_order(spark, tmp_path):
+    tables = ds.Tables.below(str(tmp_path))
+    names = spark.range(100_000).select(
+        F.format_string("file:/in/site_data_%d_x.json", "id").alias("source_path"),
+        F.format_string("site_data_%d_x.json", "id").alias("source_filename"),
+        F.lit(1).cast("long").alias("file_bytes"),
+        F.pmod(F.xxhash64("id"), F.lit(5000)).alias("file_micros"),
+    )
+    foreign = spark.createDataFrame([("file:/in/x", "x", 1, 0)], names.schema)
+    rows = manifest.write_manifest(spark, SPEC, tables, names.unionByName(foreign), 7000)
+    assert rows.where("status = 'name_mismatch'").select("number", "batch").collect() == [(None, None)]
+    rows = rows.where("status = 'waiting'").orderBy("file_micros", "source_path").collect()
+    assert [r["number"] for r in rows] == list(range(100_000))
+    assert [r["batch"] for r in rows] == [n // 7000 for n in range(100_000)]
+
+
+def test_listed_files_narrow_the_scan(spark, tmp_path):
+    job = Job(spark, tmp_path, "append")
+    for n in range(6):
+        job.put(f"site_data_{n}_0.json", document("o", str(n)), age=60 - 10 * n)
+    listed = manifest.listing(spark, SPEC, str(job.source)).where("source_filename RLIKE '_[23]_0'")
+    raw = files.read_listed(spark, str(job.source), listed, "*.json")
+    assert sorted(r["source_filename"] for r in raw.collect()) == ["site_data_2_0.json", "site_data_3_0.json"]
+    scan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "file_modification_time" in scan
+    job.put("site_data_2_0.json", document("o", "changed"), age=40 - 1)
+    assert [r["source_filename"] for r in files.read_listed(spark, str(job.source), listed.where("file_micros = 0"), "*.json").collect()] == []
+
+
+def test_archiving_again_after_a_failure(spark, tmp_path, monkeypatch):
+    job = Job(spark, tmp_path, "append")
+    for n in range(4):
+        job.put(f"site_data_{n}_0.json", document("o", str(n)))
+    job.run()
+    work = archive.write_table
+    with monkeypatch.context() as patch:
+        patch.setattr(archive, "write_table", lambda df, *a: df.collect() and 1 / 0)  # moved, not reported
+        with pytest.raises(ZeroDivisionError):
+            job.run(archive_dir=str(job.archive))
+    assert work is archive.write_table
+    assert not list(job.source.glob("*.json")) and len(list(job.archive.rglob("*.json"))) == 4
+    assert job.run(archive_dir=str(job.archive)) == {}
+    assert len(job.dockets()) == 4
+
+
+def test_outcome_of_a_move(tmp_path):
+    source, target = tmp_path / "a b%.json", tmp_path / "x" / "y" / "a b%.json"
+    source.write_bytes(b"123")
+    uri = "file:" + str(source).replace("%", "%25").replace(" ", "%20")
+    goal = "file:" + str(target).replace("%", "%25").replace(" ", "%20")
+    assert archive._move(uri, goal, 3) == ("archived", None)
+    assert target.read_bytes() == b"123" and not source.exists()
+    assert archive._move(uri, goal, 3) == ("archived", None)
+    assert archive._move(uri, goal, 4)[0] == "missing"
+    assert archive._move("nosuchscheme://h/p", goal, 3)[0] == "failed"
+
+
+# --- merge by file ---------------------------------------------------------------------
+
+
+def _merge_job(spark, tmp_path, count=5):
+    job = Job(spark, tmp_path, "merge")
+    for n in range(count):
+        job.put(f"site_data_{n}_0.json", document(f"o{n}", "a", "b"))
+        job.run()
+    return job
+
+
+def test_a_merge_rewrites_only_the_files_it_touches(spark, tmp_path):
+    job = _merge_job(spark, tmp_path)
+    before = {p: p.stat().st_mtime_ns for p in Path(job.tables.master).rglob("*.parquet")}
+    job.put("site_data_9_0.json", document("o3", "b", "c", grade="new"))
+    job.run()
+    dead = read_dead(spark, job.tables)
+    assert dead.count() == 1
+    (name,) = (r[0] for r in dead.collect())
+    assert next(Path(job.tables.master).glob(f"*/{name}")).parent.name == "batch_id=3"
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    want = [(f"o{n}", d, "g") for n in range(5) for d in "ab" if (n, d) != (3, "b")]
+    assert job.dockets() == sorted([*want, ("o3", "b", "new"), ("o3", "c", "new")])
+    job.put("site_data_8_0.json", document("o0", "a", grade="newer"))
+    job.run()
+    assert not list(Path(job.tables.master).glob(f"*/{name}"))
+    assert ("o0", "a", "newer") in job.dockets() and len(job.dockets()) == 11
+
+
+def test_merged_reads_do_not_shuffle_the_master(spark, tmp_path):
+    job = _merge_job(spark, tmp_path, 3)
+    job.put("site_data_8_0.json", document("o0", "a", grade="newer"))
+    job.run()
+    assert all(b.resolved for b in live_batches(spark, job.tables))
+    plan = job.master()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(ORDER_ID" not in plan and "Window" not in plan
+    other = Job(spark, tmp_path / "other", "append")
+    other.source, other.tables = job.source, job.tables
+    other.put("site_data_7_0.json", document("o0", "a", grade="appended"))
+    other.run()
+    assert not all(b.resolved for b in live_batches(spark, job.tables))
+    assert ("o0", "a", "appended") in job.dockets() and ("o0", "a", "newer") not in job.dockets()
+    ds.compact(spark, SPEC, job.tables, merged=True)
+    assert all(b.resolved for b in live_batches(spark, job.tables))
+    assert ("o0", "a", "appended") in job.dockets() and len(job.dockets()) == 6
+
+
+def test_what_a_failed_merge_left_does_not_hide_rows(spark, tmp_path, monkeypatch):
+    job = _merge_job(spark, tmp_path, 2)
+    job.put("site_data_8_0.json", document("o0", "a", grade="lost"))
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "_audit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job.run()
+    assert len(job.dockets()) == 4
+    (job.source / "site_data_8_0.json").unlink()
+    job.mode = "append"
+    job.put("site_data_7_0.json", document("o9", "z"))
+    job.run()
+    assert len(job.dockets()) == 5 and read_dead(spark, job.tables).isEmpty()
+
+
+def test_merge_keeps_rows_with_a_null_in_the_key(spark, tmp_path):
+    job = Job(spark, tmp_path, "merge")
+    for n in range(3):
+        job.put(f"site_data_{n}_0.json", json.dumps({"orders": [{"dockets": [{"docketId": "a"}, {"docketId": "b"}]}]}).encode())
+        job.run()
+    assert len(job.dockets()) == 6
+
+
+# --- layout by day -----------------------------------------------------------------------
+
+
+def _dated(order: str, *days: str | None) -> bytes:
+    items = [{"docketId": f"{order}-{n}", **({"orderDate": d} if d else {})} for n, d in enumerate(days)]
+    return json.dumps({"orders": [{"projectId": "p", "orderId": order, "lineId": "1", "dockets": items}]}).encode()
+
+
+def test_master_by_day_reads_only_its_days(spark, tmp_path):
+    spec = replace(SPEC, day_col="ORDER_DATE")
+    tables = ds.Tables.below(str(tmp_path / "tables"))
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "site_data_1_1.json").write_bytes(_dated("x", "2026-04-01T23:59:59", "2026-04-02", "2026-04-03T01:00:00", None, "junk"))
+    ds.run_incremental_ingest(spark, SPEC, str(source), tables, "append")  # without days
+    (source / "site_data_2_2.json").write_bytes(_dated("y", "2026-04-01T10:00:00", "2026-04-02T23:59:59", "2026-04-04", None))
+    for mode in ("append", "merge"):
+        ds.run_incremental_ingest(spark, spec, str(source), tables, mode)
+        (source / "site_data_3_3.json").write_bytes(_dated("y", "2026-04-02T05:00:00"))
+    master = ds.read_master(spark, spec, tables, merged=True, days=True)
+    assert master.count() == 9
+    assert master.where("order_day IS NULL AND ORDER_ID = 'y'").count() == 1
+    ds.compact(spark, spec, tables, merged=True)
+    master = ds.read_master(spark, spec, tables, days=True)
+    assert master.count() == 9 and master.where("order_day IS NULL").count() == 3
+    found = ds.list_dockets(master, "p", "2026-04-02", "2026-04-03")
+    got = sorted(r["DOCKET_ID"] for r in found.collect())
+    assert got == ["x-1", "x-2", "y-0", "y-1"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters")[1].split("]")[0]
+    assert "order_day" in filters
+    folders = {p.name for p in Path(tables.master).glob("*/*") if p.is_dir()}
+    assert "order_day=2026-04-02" in folders and "order_day=__HIVE_DEFAULT_PARTITION__" in folders
+    hidden = ds.list_dockets(ds.read_master(spark, spec, tables), "p", "2026-04-02", "2026-04-03")
+    assert same_rows(found.drop("order_day"), hidden)
+    with pytest.raises(ValueError, match="day_col"):
+        replace(SPEC, day_col="NOPE")
+
+
+# --- types that change ----------------------------------------------------------------------
+
+
+def _retyped(name: str, kind: str):
+    return replace(SPEC, fields=tuple(replace(f, type=kind) if f.name == name else f for f in SPEC.fields))
+
+
+def _ratio(docket: str, ratio) -> bytes:
+    return json.dumps({"orders": [{"orderId": "o", "lineId": "1", "dockets": [{"docketId": docket, "ratioOPC": ratio}]}]}).encode()
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,6)", "string"])
+def test_widened_column_over_earlier_batches(spark, tmp_path, kind):
+    job = Job(spark, tmp_path, "append")
+    job.put("site_data_1_1.json", _ratio("a", 7))
+    job.run()
+    wider = _retyped("RATIO_OPC", kind)
+    job.put("site_data_2_2.json", _ratio("b", 0.25))
+    ds.run_incremental_ingest(spark, wider, str(job.source), job.tables, "append")
+    rows = ds.read_master(spark, wider, job.tables).select("DOCKET_ID", F.col("RATIO_OPC").cast("double")).collect()
+    assert sorted(map(tuple, rows)) == [("a", 7.0), ("b", 0.25)]
+    with pytest.raises(ValueError, match="RATIO_OPC was written as"):
+        ds.read_master(spark, SPEC, job.tables)
+    job.put("site_data_3_3.json", _ratio("c", 3))
+    with pytest.raises(ValueError, match="RATIO_OPC was written as"):
+        ds.run_incremental_ingest(spark, SPEC, str(job.source), job.tables, "merge")
+    ds.compact(spark, wider, job.tables)
+    assert ds.read_master(spark, wider, job.tables).count() == 2
+
+
+def test_value_that_the_wider_scale_cannot_hold_raises(spark, tmp_path):
+    job = Job(spark, tmp_path, "append")
+    job.put("site_data_1_1.json", _ratio("a", 10**15))
+    job.run()
+    with pytest.raises(Exception, match="RATIO_OPC: too large"):
+        ds.read_master(spark, _retyped("RATIO_OPC", "decimal(18,6)"), job.tables).collect()
+
+
+# --- distinct counts that add up ---------------------------------------------------------------
+
+
+def test_sketches_add_up_over_batches(spark, tmp_path):
+    job = Job(spark, tmp_path, "append")
+    for n in range(3):
+        job.put(f"site_data_{n}_0.json", document("o", *(str(i) for i in range(2000 * n, 2000 * n + 4000))))
+        job.run()
+    job.put("nothing.json", b"x")
+    job.run()
+    audit = ds.read_audit(spark, job.tables)
+    each = {r["batch_id"]: r["distinct_keys"] for r in ds.estimated_keys(audit, "batch_id").collect()}
+    assert all(abs(each[n] - 4000) < 120 for n in range(3)) and each[3] == 0
+    whole = ds.estimated_keys(audit).first()[0]
+    exact = ds.validate_master(job.master(), ["ORDER_ID", "LINE_ID", "DOCKET_ID"]).first()["distinct_keys"]
+    assert exact == 8000 and abs(whole - exact) < 0.03 * exact
+    assert ds.estimated_keys(audit.limit(0)).first()[0] == 0
+
+
+def test_sketch_error_is_within_its_bound(spark):
+    for count in (10, 1000, 200_000):
+        rows = spark.range(count).selectExpr("'f' AS source_filename", "CAST(id AS STRING) AS k", "NULL AS j")
+        both = rows.unionByName(rows)
+        audit = ds.ingestion_audit(both, ["k", "j"], sketched=True)
+        assert audit.first()["distinct_keys"] == count
+        assert abs(ds.estimated_keys(audit).first()[0] - count) <= max(1, 0.03 * count)
+
+
+def test_a_clock_for_streams(spark, tmp_path):
+    job = StreamJob(spark, tmp_path, "append")
+    job.put("site_data_1_1.json", document("o", "a"))
+    stamp = dt.datetime(2026, 1, 2, 3)
+    job.run(ingestion_ts=stamp)
+    assert [r["INGESTION_TS"] for r in job.master().collect()] == [stamp]
