@@ -22,6 +22,7 @@ from docstrata.operators.quality import (
 )
 from docstrata.operators.upsert import align_to_schema, merge_upsert
 from docstrata.operators.versions import number_versions
+from docstrata.plans.changelog import ChangeTables, read_change_log, update_change_log
 from docstrata.plans.pipeline import (
     commit_batch,
     compact,
@@ -30,6 +31,7 @@ from docstrata.plans.pipeline import (
     rebuild,
     register_views,
 )
+from docstrata.sources.bucketed import publish_bucketed
 from docstrata.sources.documents import flatten_documents, load_documents, rejected_documents
 from docstrata.sources.files import discover_files, read_raw
 from docstrata.sources.tables import (
@@ -46,6 +48,7 @@ from docstrata.streaming.incremental import run_incremental_ingest
 from docstrata.streaming.stream import run_stream_ingest
 
 __all__ = [
+    "ChangeTables",
     "FieldSpec",
     "PipelineSpec",
     "Tables",
@@ -80,8 +83,10 @@ __all__ = [
     "number_versions",
     "parse_time",
     "preview",
+    "publish_bucketed",
     "read_archived",
     "read_audit",
+    "read_change_log",
     "read_master",
     "read_raw",
     "read_rejects",
@@ -95,6 +100,7 @@ __all__ = [
     "run_stream_ingest",
     "stamp_ingestion",
     "to_key_value",
+    "update_change_log",
     "validate_master",
     "write_table",
 ]

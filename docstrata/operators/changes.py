@@ -21,6 +21,7 @@ from docstrata.operators.versions import (
     hot_keys,
     number_versions,
     oldest_first,
+    split_hot,
     with_predecessor,
 )
 from docstrata.spec import ENGINE_COLUMNS
@@ -71,12 +72,13 @@ def changed_records(
     """
     keys = column_list(key)
     changed = change_summary(df, keys, exclude).select(*keys)
-    hot = hot_keys(df, keys, hot_rows) if hot_rows else {}
-    if not hot:
+    hot = hot_keys(df, keys, hot_rows) if hot_rows else None
+    if hot is None:
         return df.join(changed, keys, "left_semi").select(*df.columns)
-    is_hot = F.xxhash64(*keys).isin(*hot)
-    rest = df.where(~is_hot).join(changed.where(~is_hot), keys, "left_semi")
-    found = df.where(is_hot).join(F.broadcast(changed.where(is_hot)), keys, "left_semi")
+    large, others = split_hot(df, keys, hot[0])
+    changed_large, changed_others = split_hot(changed, keys, hot[0])
+    rest = others.join(changed_others, keys, "left_semi")
+    found = large.join(F.broadcast(changed_large), keys, "left_semi")
     return rest.unionByName(found).select(*df.columns)
 
 
@@ -122,20 +124,27 @@ def change_log(
     keys, order_by = column_list(key), column_list(order_by)
     ignored = {*keys, *order_by, *exclude, *ENGINE_COLUMNS}
     tracked = columns_except(df, ignored)
-    df = _with_key(df, keys)
+    df = with_key(df, keys)
     find = _changes_by_lag if strategy == "lag" else _changes_by_join
     log = find(df, keys, order_by, tracked, tiebreak, hot_rows)
     return log.orderBy(*keys, "current_version_num", "column_name") if sort else log
 
 
-def _with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(reduce(and_, (F.col(k).isNotNull() for k in keys)))
 
 
-def _changed_columns(df, keys, order_by, tracked, tiebreak, hot_rows) -> DataFrame:
+def changed_columns(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    tracked: Sequence[str],
+    order: Sequence[Column],
+    hot_rows: int | None,
+    kept: Sequence[str] = (),
+) -> DataFrame:
     """Consecutive versions with ``_changes``: a struct per tracked column, or NULL."""
     stamp = order_by[0]
-    order = oldest_first(df, keys, order_by, tiebreak)
     rows = with_predecessor(df, keys, order, [stamp, *tracked], hot_rows, unfold=False)
 
     def old(c: str) -> Column:
@@ -157,13 +166,19 @@ def _changed_columns(df, keys, order_by, tracked, tiebreak, hot_rows) -> DataFra
         (F.col("_before") + 1).alias("current_version_num"),
         old(stamp).alias("previous_ingestion_ts"),
         F.col(stamp).alias("current_ingestion_ts"),
+        *kept,
         F.array(*changes).alias("_changes"),
     )
 
 
 def _changes_by_lag(df, keys, order_by, tracked, tiebreak, hot_rows) -> DataFrame:
-    versions = _changed_columns(df, keys, order_by, tracked, tiebreak, hot_rows)
-    kept = [*keys, "current_version_num", "previous_ingestion_ts", "current_ingestion_ts"]
+    order = oldest_first(df, keys, order_by, tiebreak)
+    return explode_changes(changed_columns(df, keys, order_by, tracked, order, hot_rows), keys)
+
+
+def explode_changes(versions: DataFrame, keys: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """One row per changed column of :func:`changed_columns`."""
+    kept = [*keys, "current_version_num", "previous_ingestion_ts", "current_ingestion_ts", *also]
     # The array is never empty; the outer form spares a filter that would
     # compare every column a second time.
     changes = versions.select(*kept, F.explode_outer("_changes").alias("_change"))
@@ -202,8 +217,9 @@ def noise_columns(
     """How often each column changes, and in how many versions it alone changed."""
     keys, order_by = column_list(key), column_list(order_by)
     tracked = columns_except(df, {*keys, *order_by, *exclude, *ENGINE_COLUMNS})
-    df = _with_key(df, keys)
-    versions = _changed_columns(df, keys, order_by, tracked, tiebreak, hot_rows)
+    df = with_key(df, keys)
+    order = oldest_first(df, keys, order_by, tiebreak)
+    versions = changed_columns(df, keys, order_by, tracked, order, hot_rows)
     changed = [F.col("_changes")[i].isNotNull().cast("int") for i in range(len(tracked))]
     each = versions.select(
         reduce(add, changed).alias("_columns"), F.explode_outer("_changes").alias("_c")
