@@ -2,7 +2,7 @@
 
 from docstrata.functions.extract import extract
 from docstrata.functions.fingerprint import columns_except, row_hash
-from docstrata.functions.times import convert_zone, parse_time, stamp_ingestion
+from docstrata.functions.times import convert_zone, count_formats, detect_formats, parse_time, stamp_ingestion
 from docstrata.operators.changes import (
     change_log,
     change_summary,
@@ -30,7 +30,9 @@ from docstrata.plans.pipeline import (
     ingest_texts,
     rebuild,
     register_views,
+    replay,
 )
+from docstrata.plans.views import create_views
 from docstrata.sources.bucketed import publish_bucketed
 from docstrata.sources.documents import flatten_documents, load_documents, rejected_documents
 from docstrata.sources.files import discover_files, read_raw
@@ -60,7 +62,10 @@ __all__ = [
     "commit_batch",
     "compact",
     "convert_zone",
+    "count_formats",
+    "create_views",
     "delivery_spec",
+    "detect_formats",
     "discover_files",
     "estimated_keys",
     "extract",
@@ -93,6 +98,7 @@ __all__ = [
     "read_table",
     "rebuild",
     "register_views",
+    "replay",
     "rejected_documents",
     "restrict_to_projects",
     "row_hash",

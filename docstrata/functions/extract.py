@@ -13,7 +13,7 @@ from docstrata.spec import TIMESTAMP_TYPES, FieldSpec
 def final_value(leaf: Column, field: FieldSpec) -> Column:
     """From the raw leaf (see ``FieldSpec.leaf_type``) to the value of ``field``."""
     if field.type in TIMESTAMP_TYPES:
-        return parse_time(leaf, field.type, field.sentinels, field.assume_offset)
+        return parse_time(leaf, field.type, field.sentinels, field.assume_offset, field.format)
     if not field.sentinels:
         return leaf
     for s in field.sentinels:

@@ -14,8 +14,8 @@ from docstrata.operators.latest import latest_per_key, latest_view
 from docstrata.operators.quality import ingestion_audit
 from docstrata.operators.upsert import align_to_schema, merge_upsert
 from docstrata.operators.versions import HOT_ROWS
-from docstrata.sources.documents import flatten_documents, parsed_texts, rows_of_parsed
-from docstrata.sources.files import read_raw
+from docstrata.sources.documents import fixed_formats, flatten_documents, parsed_texts, rows_of_parsed
+from docstrata.sources.files import read_files, read_raw
 from docstrata.sources.scratch import durable
 from docstrata.sources.tables import (
     AUDIT_SCHEMA,
@@ -25,6 +25,7 @@ from docstrata.sources.tables import (
     layout_of,
     live_batches,
     next_batch,
+    read_archived,
     read_audit,
     read_batches,
     read_master,
@@ -135,6 +136,28 @@ def commit_batch(
     spark = raw.sparkSession
     batch_id = next_batch(spark, tables)
     before = [] if replaces else live_batches(spark, tables)
+    audit = _build_batch(
+        raw, spec, tables, mode, on_error, ingestion_ts, foreign, replaces, stream_batch, batch_id, before
+    )
+    write_table(audit, f"{tables.audit}/batch_id={batch_id}")
+    return batch_id
+
+
+def _build_batch(
+    raw: DataFrame,
+    spec: PipelineSpec,
+    tables: Tables,
+    mode: str,
+    on_error: str,
+    ingestion_ts: dt.datetime | None,
+    foreign: DataFrame | None,
+    replaces: bool,
+    stream_batch: int | None,
+    batch_id: int,
+    before: list[Batch],
+) -> DataFrame:
+    """Everything of a batch but its audit, which is returned."""
+    spark = raw.sparkSession
     # What a failed merge of this number left must not count for this batch.
     delete(spark, f"{tables.dead}/batch_id={batch_id}")
     stamp = ingestion_ts or now_in_zone(spec.zone)
@@ -147,6 +170,7 @@ def commit_batch(
     documents = landed.drop("text")
     if spec.provenance:
         documents = number_lines(documents)
+    spec = fixed_formats(lambda s: rows_of_parsed(documents, s), spec)
     flat = rows_of_parsed(documents, spec)
     rows = batch_rows(flat, spec, mode, stamp).select(*spec.master_schema().names)
     folder = f"{tables.master}/batch_id={batch_id}"
@@ -166,9 +190,7 @@ def commit_batch(
             "master_schema": F.lit(layout_of(spec)),
         }
     )
-    columns = [f.name for f in AUDIT_SCHEMA if f.name != "batch_id"]
-    write_table(audit.select(*columns), f"{tables.audit}/batch_id={batch_id}")
-    return batch_id
+    return audit.select(*(f.name for f in AUDIT_SCHEMA if f.name != "batch_id"))
 
 
 def merge_files(
@@ -284,6 +306,80 @@ def rebuild(
     return audit
 
 
+def replay(
+    spark: SparkSession,
+    spec: PipelineSpec,
+    tables: Tables,
+    mode: str = "append_dedup",
+    layout: str = "document",
+    on_error: str = "abort",
+) -> list[int]:
+    """Loads the archived files again, batch by batch as they were delivered, in place of
+    all there is; returns the numbers of the new batches.
+
+    Each batch has the stamp it had, and each file the name, place and time it had when it
+    arrived, so versions and change log are what they were.  The batches are built below
+    the new numbers, beside what is there; their audit is written in one go when all are
+    complete, and takes the place of the old one.  Nothing changes if a file fails.
+    """
+    if mode == "merge":
+        raise ValueError("a merged master keeps no versions to replay; use rebuild")
+    audit, archived = read_audit(spark, tables), read_archived(spark, tables)
+    loaded = audit.where("status = 'loaded'").select("source_path", "source_filename", "file_bytes", "file_micros", "batch_id", "ingestion_ts")
+    places = archived.where("status = 'archived'").groupBy("source_path", "file_micros")
+    places = places.agg(F.min("archived_to").alias("archived_to"))
+    files = durable(loaded.join(places, ["source_path", "file_micros"], "left"))
+    # A file is loaded once; where a rebuild loaded it again, its first batch counts.
+    first = files.groupBy("source_path", "file_bytes", "file_micros").agg(
+        F.min_by(F.struct("batch_id", "ingestion_ts", "source_filename", "archived_to"), "batch_id").alias("f")
+    )
+    files = durable(first.select("source_path", "file_bytes", "file_micros", "f.*"))
+    lost = files.where("archived_to IS NULL").first()
+    if lost is not None:
+        raise ValueError(f"not in the archive: {lost['source_path']}")
+    start, done, audits = next_batch(spark, tables), [], []
+    batches = files.select("batch_id", "ingestion_ts").distinct().orderBy("batch_id", "ingestion_ts")
+    for n, b in enumerate(batches.collect()):
+        own = files.where((F.col("batch_id") == b["batch_id"]) & F.col("ingestion_ts").eqNullSafe(F.lit(b["ingestion_ts"])))
+        raw = _as_delivered(spark, own, layout)
+        audit = _build_batch(raw, spec, tables, mode, on_error, b["ingestion_ts"], None, n == 0, None, start + n, [])
+        audits.append(durable(audit))  # the next batch takes the landing table
+        done.append(start + n)
+    if done:
+        whole = reduce(
+            DataFrame.unionByName, (a.withColumn("batch_id", F.lit(n)) for n, a in zip(done, audits, strict=True))
+        )
+        whole.write.mode("append").partitionBy("batch_id").parquet(tables.audit)
+        remove_superseded(spark, tables)
+    return done
+
+
+def _as_delivered(spark: SparkSession, files: DataFrame, layout: str) -> DataFrame:
+    """The texts of archived files of one batch under the identity they arrived with."""
+    paths = [r[0] for r in files.select("archived_to").collect()]  # one batch: max_files_per_batch
+    raw = read_files(spark, paths, layout, encoded=False)
+    plain = F.regexp_replace(F.url_decode(F.replace("source_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    named = F.regexp_replace("archived_to", "^file:/+", "file:/")
+    known = files.select(
+        named.alias("_at"),
+        F.col("source_filename").alias("_name"),
+        F.col("source_path").alias("_path"),
+        F.col("file_bytes").alias("_bytes"),
+        F.col("file_micros").alias("_micros"),
+    )
+    rows = raw.withColumn("_at", plain).join(F.broadcast(known), "_at")
+    return rows.select(
+        F.col("_name").alias("source_filename"),
+        F.timestamp_micros("_micros").cast("timestamp_ntz").alias("file_modified_at"),
+        F.col("_path").alias("source_path"),
+        F.col("_bytes").alias("file_bytes"),
+        F.col("_micros").alias("file_micros"),
+        "block_start",
+        "line_pos",
+        "text",
+    )
+
+
 def compact(spark: SparkSession, spec: PipelineSpec, tables: Tables, merged: bool = False) -> None:
     """Writes the master as one batch, ``merged`` without the rows that newer ones
     replaced, and deletes the folders of the batches before it."""

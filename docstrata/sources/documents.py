@@ -8,14 +8,16 @@ hand their leaves to the same cast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docstrata.functions.extract import leaf_value, path_value
+from docstrata.functions.times import AUTO, detect_formats
 from docstrata.operators.flatten import flatten
 from docstrata.sources.files import read_raw
-from docstrata.spec import FieldSpec, PipelineSpec
+from docstrata.spec import TIMESTAMP_TYPES, FieldSpec, PipelineSpec
 
 ON_ERROR = ("abort", "quarantine")
 ENGINES = ("typed", "variant")
@@ -117,8 +119,21 @@ def flatten_documents(
     _check(engine, ENGINES)
     if engine == "variant":
         landing = parse_documents(raw, spec.root, on_error)
-        return _flatten_variant(landing, spec)
-    return rows_of_parsed(parsed_texts(raw, spec, on_error).drop("text"), spec)
+        return _flatten_variant(landing, fixed_formats(lambda s: _flatten_variant(landing, s), spec))
+    parsed = parsed_texts(raw, spec, on_error).drop("text")
+    return rows_of_parsed(parsed, fixed_formats(lambda s: rows_of_parsed(parsed, s), spec))
+
+
+def fixed_formats(flat: Callable[[PipelineSpec], DataFrame], spec: PipelineSpec) -> PipelineSpec:
+    """The spec with a format in place of every ``auto``; ``flat`` gives the rows of the
+    load under a spec.  One more pass over the load, only where something is to be found."""
+    open_ = {f.name: f for f in spec.fields if f.format == AUTO and f.type in TIMESTAMP_TYPES}
+    if not open_:
+        return spec
+    texts = replace(spec, fields=tuple(replace(f, type="string", format="iso") if f.name in open_ else f for f in spec.fields))
+    found = detect_formats(flat(texts), list(open_))
+    fields = (replace(f, format=found[f.name]) if f.name in open_ else f for f in spec.fields)
+    return replace(spec, fields=tuple(fields))
 
 
 def parsed_texts(raw: DataFrame, spec: PipelineSpec, on_error: str = "abort") -> DataFrame:

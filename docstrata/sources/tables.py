@@ -40,6 +40,8 @@ AUDIT_SCHEMA = (
 )
 DEAD_SCHEMA = T.StructType().add("file_name", T.StringType()).add("batch_id", T.LongType())
 DAY = "order_day"
+#: The folder of no batch, see :func:`prepare`.
+NO_BATCH = -1
 REJECTS_SCHEMA = (
     T.StructType()
     .add("source_filename", T.StringType())
@@ -281,7 +283,7 @@ def remove_superseded(spark: SparkSession, tables: Tables) -> None:
     live = {f"batch_id={n}" for n in committed_batches(spark, tables)}
     for table in (tables.master, tables.rejects):
         for folder in list_folders(spark, table):
-            if folder.startswith("batch_id=") and folder not in live:
+            if folder.startswith("batch_id=") and folder not in (*live, f"batch_id={NO_BATCH}"):
                 delete(spark, f"{table}/{folder}")
 
 
@@ -296,7 +298,22 @@ def remove_dead(spark: SparkSession, tables: Tables) -> None:
     there = there.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_name").alias("file_name"))
     for f in there.join(F.broadcast(dead), "file_name", "left_semi").toLocalIterator():
         delete(spark, unquote(f["p"]))
-    delete(spark, tables.dead)
+    for folder in list_folders(spark, tables.dead):
+        if folder != f"batch_id={NO_BATCH}":
+            delete(spark, f"{tables.dead}/{folder}")
+
+
+def prepare(spark: SparkSession, spec: PipelineSpec, tables: Tables) -> None:
+    """Gives every table of a pipeline that views read a first, empty folder; that of the
+    master has all columns of today."""
+    master = f"{tables.master}/batch_id={NO_BATCH}"
+    delete(spark, master)
+    day = f"/{DAY}=__HIVE_DEFAULT_PARTITION__" if spec.day_col else ""
+    write_table(spark.createDataFrame([], spec.master_schema()), master + day)
+    for path, schema in ((tables.audit, AUDIT_SCHEMA), (tables.dead, DEAD_SCHEMA)):
+        if not list_folders(spark, path):
+            columns = T.StructType([f for f in schema if f.name != "batch_id"])
+            write_table(spark.createDataFrame([], columns), f"{path}/batch_id={NO_BATCH}")
 
 
 def list_folders(spark: SparkSession, path: str) -> list[str]:

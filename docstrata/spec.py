@@ -38,7 +38,9 @@ class FieldSpec:
     Timestamps are always parsed safely (unparsable becomes NULL); any other
     type raises on a bad value while ``strict``, else gives NULL.
     ``sentinels`` are exact texts that mean "no value"; ``assume_offset`` is
-    appended to offset-less text before it is parsed.
+    appended to offset-less text before it is parsed.  ``format`` is how times are
+    written, one of ``TIME_FORMATS``, or ``auto``: each load then reads them in the format
+    that most of its values are written in.
     """
 
     name: str
@@ -48,6 +50,7 @@ class FieldSpec:
     strict: bool = True
     sentinels: tuple[str, ...] = ()
     assume_offset: str | None = None
+    format: str = "iso"
 
     @property
     def leaf_type(self) -> T.DataType:

@@ -1,0 +1,209 @@
+"""Views that stay, replay in order, and times in other spellings."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+from dataclasses import replace
+
+import pytest
+from conftest import same_rows
+from pyspark.sql import functions as F
+from test_changelog import FIELDS, SPEC as SMALL, Master
+from test_pipeline import SPEC, Job, document
+
+import docstrata as ds
+from docstrata.functions.times import TIME_FORMATS, parse_time
+from docstrata.plans import pipeline
+
+
+@pytest.fixture
+def views(spark, tmp_path):
+    """Views over an empty pipeline of rows (K, V, W, day)."""
+    master = Master(spark, tmp_path)
+    prefix = f"v_{tmp_path.name}_"
+    names = ds.create_views(spark, SMALL, master.tables, prefix)
+    yield master, prefix
+    for n in reversed(names):
+        spark.sql(f"DROP VIEW {n}")
+
+
+def test_a_view_made_before_a_batch_shows_it(views, spark):
+    master, prefix = views
+    assert [spark.table(f"{prefix}{n}").count() for n in ("master", "latest", "change_summary", "change_log")] == [0] * 4
+    for n, rows in enumerate(
+        (
+            [("a", "1", 1, 0), ("b", "1", None, 0), (None, "1", 1, 0)],
+            [("a", "2", 1, 1), ("b", "1", None, 1), ("c", None, 2, 1), (None, "3", 1, 1)],
+            [("a", "2", None, 2), ("a", "2", None, 2), ("b", "1", 5, 0)],
+        )
+    ):
+        master.add(rows)
+        whole = ds.read_master(spark, SMALL, master.tables)
+        assert spark.table(f"{prefix}master").count() == whole.count() and n < 3
+        assert same_rows(spark.table(f"{prefix}master"), whole)
+        assert same_rows(spark.table(f"{prefix}latest"), ds.latest_view(whole, SMALL))
+        assert same_rows(spark.table(f"{prefix}change_summary"), ds.change_summary(whole, "K", ["TS"]))
+        assert same_rows(spark.table(f"{prefix}change_log"), master.whole())
+    assert spark.table(f"{prefix}change_log").columns == master.whole().columns
+    master.add([("z", "1", 1, 9)], replaces=True)
+    assert spark.table(f"{prefix}master").select("K").collect() == [("z",)]
+    ds.write_table(ds.read_master(spark, SMALL, master.tables), f"{master.tables.master}/batch_id=9")
+    assert spark.table(f"{prefix}master").count() == 1
+
+
+def test_views_of_a_wider_table(views, spark):
+    master, prefix = views
+    master.add([("a", "1", 1, 0)])
+    wider = replace(SMALL, fields=(*FIELDS, ds.FieldSpec("X", "x")))
+    ds.create_views(spark, wider, master.tables, prefix)
+    assert spark.table(f"{prefix}master").select("X").collect() == [(None,)]
+    master.add([("a", "2", 1, 1)], spec=wider)
+    assert same_rows(spark.table(f"{prefix}master"), ds.read_master(spark, wider, master.tables))
+    assert same_rows(spark.table(f"{prefix}change_log"), master.whole())
+    long = replace(wider, fields=tuple(replace(f, type="bigint") if f.name == "W" else f for f in wider.fields))
+    with pytest.raises(ValueError, match="compact"):
+        ds.create_views(spark, long, master.tables, prefix)
+    with pytest.raises(ValueError, match="laid out"):
+        ds.create_views(spark, replace(wider, fields=(*wider.fields, ds.FieldSpec("D", "d", "timestamp_ntz")), day_col="D"), master.tables, prefix)
+
+
+def test_views_hide_what_merges_rewrote(spark, tmp_path):
+    job = Job(spark, tmp_path, "merge")
+    ds.create_views(spark, SPEC, job.tables, f"m_{tmp_path.name}_")
+    for n, grade in enumerate("xyz"):
+        job.put(f"site_data_{n}_0.json", document("o", "a", str(n), grade=grade))
+        job.run()
+        assert same_rows(spark.table(f"m_{tmp_path.name}_master"), job.master())
+    ds.compact(spark, SPEC, job.tables, merged=True)
+    assert same_rows(spark.table(f"m_{tmp_path.name}_master"), job.master())
+    assert job.master().count() == 4
+
+
+# --- replay ---------------------------------------------------------------------------
+
+
+def _history(spark, tmp_path, layout="document"):
+    job = Job(spark, tmp_path, "append_dedup", layout)
+    for n, grades in enumerate((("g", "h"), ("i", "i"), ("g", "x"))):
+        job.put(f"site_data_{n}_a b.json", document("o", "a", grade=grades[0]), age=100 - n)
+        job.put("site_data_same_0.json", document("o", "b", grade=grades[1]), age=90 - n)
+        job.run(archive_dir=str(job.archive), ingestion_ts=dt.datetime(2026, 1, 1 + n))
+    return job
+
+
+@pytest.mark.parametrize("layout", ["document", "lines"])
+def test_replay_gives_the_same_history(spark, tmp_path, layout):
+    job = _history(spark, tmp_path, layout)
+    before = job.spark.createDataFrame(job.master().collect(), job.master().schema)
+    log = ds.change_log(before, "DOCKET_ID", "INGESTION_TS", hot_rows=None)
+    assert log.count() == 4 and not list(job.source.iterdir())
+    assert ds.replay(spark, SPEC, job.tables, "append_dedup", layout) == [3, 4, 5]
+    assert same_rows(job.master(), before)
+    assert same_rows(ds.change_log(job.master(), "DOCKET_ID", "INGESTION_TS", hot_rows=None), log)
+    assert ds.replay(spark, SPEC, job.tables, "append_dedup", layout) == [6, 7, 8]
+    assert same_rows(job.master(), before)
+    assert job.run() == {}
+    job.put("site_data_9_0.json", document("o", "a", grade="later"))
+    assert list(job.run()) == ["site_data_9_0.json"] and job.master().count() == 7
+
+
+def test_a_replay_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    job = _history(spark, tmp_path)
+    before = job.dockets()
+    build, calls = pipeline._build_batch, []
+
+    def dies(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        return build(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "_build_batch", dies)
+        with pytest.raises(RuntimeError):
+            ds.replay(spark, SPEC, job.tables)
+    assert job.dockets() == before
+    next(job.archive.rglob("site_data_1_a b.json")).unlink()
+    job.put("site_data_7_0.json", document("o", "z"))
+    job.run()
+    with pytest.raises(ValueError, match="not in the archive"):
+        ds.replay(spark, SPEC, job.tables)
+    with pytest.raises(ValueError, match="merged"):
+        ds.replay(spark, SPEC, job.tables, "merge")
+
+
+# --- time formats ----------------------------------------------------------------------
+
+MOMENT = "2026-02-03 04:05:06"
+SPELLED = {
+    "iso": "2026-02-03T04:05:06",
+    "year_first": "2026/2/3 04:05:06",
+    "day_first": "03/02/2026 04:05:06",
+    "month_first": "2/3/2026 04:05:06",
+    "month_name": "3-Feb-2026 04:05:06",
+    "compact": "20260203040506",
+    "epoch_seconds": "1770091506",
+    "epoch_millis": "1770091506000",
+    "epoch_micros": "1770091506000000",
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_every_format_reads_its_spelling(spark, zone):
+    assert set(SPELLED) == set(TIME_FORMATS)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for name, text in SPELLED.items():
+            df = spark.createDataFrame([(text,), ("junk",), (None,), ("31/31/2026",)], "t string")
+            got = [r[0] for r in df.select(parse_time(F.col("t"), format=name).cast("string")).collect()]
+            assert got == [MOMENT, None, None, None], name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_dates_without_time_and_offsets(spark):
+    rows = [("03.02.2026", "day_first"), ("3-FEB-2026", "month_name"), ("20260203", "compact"), ("2026/02/03 ", "year_first")]
+    for text, name in rows:
+        df = spark.createDataFrame([(text,)], "t string")
+        assert df.select(parse_time(F.col("t"), format=name).cast("string")).first()[0] == "2026-02-03 00:00:00"
+    df = spark.createDataFrame([("03/02/2026 04:05:06",)], "t string")
+    instant = parse_time(F.col("t"), "timestamp", assume_offset="+08:00", format="day_first")
+    assert df.select(F.unix_seconds(instant)).first()[0] == 1770091506 - 8 * 3600
+
+
+def test_detection_takes_what_reads_most(spark):
+    rows = [
+        (SPELLED["iso"], "01/02/2026", "12/31/2026", SPELLED["epoch_seconds"], SPELLED["epoch_millis"], None, "junk"),
+        (SPELLED["iso"], "31/02/2026", "11/30/2026", SPELLED["epoch_seconds"], "x", None, "junk"),
+        ("01/02/2026", "31/01/2026", "1/2/2026", "", SPELLED["epoch_millis"], None, ""),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string")
+    found = ds.detect_formats(df, df.columns)
+    assert found == {"a": "iso", "b": "day_first", "c": "month_first", "d": "epoch_seconds", "e": "epoch_millis", "f": "iso", "g": "iso"}
+    counts = {(r["column_name"], r["format"]): (r["readable"], r["total"]) for r in ds.count_formats(df, ["a", "e"]).collect()}
+    assert counts["a", "iso"] == (2, 3) and counts["a", "day_first"] == (1, 3) and counts["e", "epoch_millis"] == (2, 3)
+    assert ds.detect_formats(df, []) == {}
+
+
+@pytest.mark.parametrize("engine", ["typed", "variant"])
+def test_a_load_fixes_the_format_of_a_field(spark, raw, engine):
+    spec = replace(SPEC, fields=tuple(replace(f, format="auto") if f.name == "LOADED_TIME" else f for f in SPEC.fields))
+    texts = [
+        json.dumps({"orders": [{"orderId": "o", "dockets": [{"docketId": d, "loadedTime": t}]}]})
+        for d, t in (("a", 1770091506), ("b", "1770091507"), ("c", "2026-02-03T04:05:06"), ("d", None))
+    ]
+    rows = ds.flatten_documents(raw(*texts), spec, engine=engine).select("DOCKET_ID", F.col("LOADED_TIME").cast("string"))
+    assert dict(map(tuple, rows.collect())) == {"a": MOMENT, "b": "2026-02-03 04:05:07", "c": None, "d": None}
+
+
+def test_an_ingest_with_detected_times(spark, tmp_path):
+    spec = replace(SPEC, fields=tuple(replace(f, format="auto") if f.name == "ORDER_DATE" else f for f in SPEC.fields))
+    job = Job(spark, tmp_path, "append")
+    for n, date in enumerate(("03/02/2026", "13/02/2026")):
+        text = {"orders": [{"orderId": "o", "dockets": [{"docketId": str(n), "orderDate": date}]}]}
+        job.put(f"site_data_{n}_0.json", json.dumps(text).encode())
+    ds.run_incremental_ingest(spark, spec, str(job.source), job.tables, "append")
+    dates = ds.read_master(spark, spec, job.tables).select(F.to_date("ORDER_DATE").cast("string"))
+    assert sorted(r[0] for r in dates.collect()) == ["2026-02-03", "2026-02-13"]
