@@ -8,6 +8,7 @@ documents build them from ``orders`` and ``lineitem``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -1033,3 +1034,229 @@ def rebuild(spark, sf_dir):
     _write_documents(docs.where(~early), f"{root}/in")
     ds.run_incremental_ingest(spark, _text_spec(), f"{root}/in", tables, "append", "lines")
     return _content(ds.read_master(spark, _spec(), tables))
+
+
+@query(_delivery_sql())
+def stream_ingest(spark, sf_dir):
+    """Two deliveries by the stream, then a run with nothing new and one whose checkpoint
+    was lost: each file is loaded once."""
+    root = scratch_path(spark, "stream")
+    tables = ds.Tables.below(root)
+    docs = delivery_documents(spark, sf_dir)
+    early = F.year("file_modified_at") < 1998
+    for part, checkpoint in ((docs.where(early), "a"), (docs.where(~early), "a"), (None, "a"), (None, "b")):
+        if part is not None:
+            _write_documents(part, f"{root}/in")
+        ds.run_stream_ingest(
+            spark, _text_spec(), f"{root}/in", tables, f"{root}/checkpoint-{checkpoint}", "append", "lines"
+        )
+    return _content(ds.read_master(spark, _spec(), tables))
+
+
+@query(_delivery_sql())
+def array_ingest(spark, sf_dir):
+    """Each delivered file is one array of all its documents, read by many tasks."""
+    root = scratch_path(spark, "arrays")
+    docs = delivery_documents(spark, sf_dir)
+    # Lines of a task with brackets around them and commas between them are an array.
+    lines = docs.select("text", F.spark_partition_id().alias("_task"), F.monotonically_increasing_id().alias("_at"))
+    lines = lines.repartition("_task").sortWithinPartitions("_task", "_at")
+    ends = lines.groupBy("_task").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    lines = lines.join(F.broadcast(ends), "_task")
+    text = F.concat(
+        F.when(F.col("_at") == F.col("_first"), "[").otherwise(""),
+        "text",
+        F.when(F.col("_at") == F.col("_last"), "]").otherwise(","),
+    )
+    arrays = lines.sortWithinPartitions("_task", "_at").select(text.alias("value"), F.col("_task").alias("task"))
+    arrays.write.partitionBy("task").text(f"{root}/in")
+    raw = ds.read_raw(spark, f"{root}/in", ".*", "*.txt", "array", recursive=True)
+    return _content(ds.ingest_texts(raw, _spec(), "append"))
+
+
+# Batches by supplier, the second stamped before the first: its versions come late.
+_STAMPS = ("2026-01-02", "2026-01-01", "2026-01-03")
+_PART_SQL = "CASE l_suppkey % 3 " + " ".join(
+    f"WHEN {n} THEN TIMESTAMP '{stamp}'" for n, stamp in enumerate(_STAMPS)
+) + " END"
+_STAMPED_MASTER = f"SELECT * FROM ({_delivery_sql(f', {_PART_SQL} AS INGESTION_TS')})"
+_STAMPED_ORDER = ", ".join(
+    f"{c} ASC NULLS LAST" for c in ["INGESTION_TS", *(c for c in _DELIVERY_COLUMNS if c != "DOCKET_ID")]
+)
+
+
+def _stamped_batches(spark, sf_dir, tables: ds.Tables):
+    """Loads the batches one by one; yields after each."""
+    docs = delivery_documents(spark, sf_dir)
+    supplier = F.get_json_object("text", "$.orders[0].dockets[0].truckNumber").cast("long")
+    for n, stamp in enumerate(_STAMPS):
+        at = dt.datetime.fromisoformat(stamp)
+        yield ds.commit_batch(docs.where(supplier % 3 == n), _spec(), tables, "append", ingestion_ts=at)
+
+
+@query(
+    _change_log_sql(
+        _STAMPED_MASTER,
+        "DOCKET_ID",
+        _STAMPED_ORDER,
+        "INGESTION_TS",
+        [c for c in _DELIVERY_COLUMNS if c != "DOCKET_ID"],
+    )
+)
+def kept_change_log(spark, sf_dir):
+    """The log kept up after every batch, the second of which is late."""
+    root = scratch_path(spark, "kept")
+    tables, log = ds.Tables.below(f"{root}/tables"), ds.ChangeTables.below(f"{root}/log")
+    for _ in _stamped_batches(spark, sf_dir, tables):
+        ds.update_change_log(spark, _spec(), tables, log, buckets=64)
+    return ds.read_change_log(spark, _spec(), log)
+
+
+@query(
+    _change_log_sql(
+        _STAMPED_MASTER,
+        "DOCKET_ID",
+        _STAMPED_ORDER,
+        "INGESTION_TS",
+        [c for c in _DELIVERY_COLUMNS if c != "DOCKET_ID"],
+    )
+)
+def bucketed_change_log(spark, sf_dir):
+    """The log over the master as a table bucketed by docket, published batch by batch."""
+    root = scratch_path(spark, "bucketed")
+    tables, name = ds.Tables.below(f"{root}/tables"), f"bucketed_{uuid.uuid4().hex}"
+    for _ in _stamped_batches(spark, sf_dir, tables):
+        master = ds.publish_bucketed(spark, _spec(), tables, name, f"{root}/table", buckets=16)
+    return ds.change_log(master, "DOCKET_ID", "INGESTION_TS")
+
+
+@query(
+    _change_log_sql(
+        _STAMPED_MASTER,
+        "DOCKET_ID",
+        _STAMPED_ORDER,
+        "INGESTION_TS",
+        [c for c in _DELIVERY_COLUMNS if c != "DOCKET_ID"],
+    )
+)
+def lasting_view(spark, sf_dir):
+    """A view of the log made before the first batch."""
+    tables, prefix = ds.Tables.below(scratch_path(spark, "views")), f"lasting_{uuid.uuid4().hex}_"
+    ds.create_views(spark, _spec(), tables, prefix)
+    list(_stamped_batches(spark, sf_dir, tables))
+    return spark.table(f"{prefix}change_log")
+
+
+@query(_STAMPED_MASTER)
+def replayed_master(spark, sf_dir):
+    """Three deliveries, archived, and loaded again in their order with their stamps."""
+    root = scratch_path(spark, "replay")
+    tables = ds.Tables.below(f"{root}/tables")
+    docs = delivery_documents(spark, sf_dir)
+    supplier = F.get_json_object("text", "$.orders[0].dockets[0].truckNumber").cast("long")
+    for n, stamp in enumerate(_STAMPS):
+        _write_documents(docs.where(supplier % 3 == n), f"{root}/in")
+        ds.run_incremental_ingest(
+            spark,
+            _text_spec(),
+            f"{root}/in",
+            tables,
+            "append",
+            "lines",
+            archive_dir=f"{root}/done",
+            ingestion_ts=dt.datetime.fromisoformat(stamp),
+        )
+    ds.replay(spark, _text_spec(), tables, "append", "lines")
+    return ds.read_master(spark, _spec(), tables).select(*_DELIVERY_COLUMNS, "INGESTION_TS")
+
+
+@query(
+    f"""SELECT * FROM ({_delivery_sql()}) WHERE PROJECT_ID IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer
+        WHERE c_custkey % 3 = 0) AND ORDER_DATE >= TIMESTAMP '1996-03-01' AND ORDER_DATE < TIMESTAMP '1996-06-01'"""
+)
+def list_dockets_by_day(spark, sf_dir):
+    """Days of a master laid out by order day; only the folders of those days are read."""
+    spec = replace(_spec(), day_col="ORDER_DATE")
+    tables = ds.Tables.below(scratch_path(spark, "days"))
+    ds.commit_batch(delivery_documents(spark, sf_dir), spec, tables, "append")
+    master = ds.read_master(spark, spec, tables, days=True).withColumn("_any", F.lit(1))
+    listed = ds.list_dockets(master, 1, "1996-03-01", "1996-05-31", project_col="_any")
+    projects = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0")
+    projects = projects.select(F.col("c_custkey").cast("string").alias("PROJECT_ID"))
+    return _content(ds.restrict_to_projects(listed, projects))
+
+
+@query(
+    f"""SELECT * EXCLUDE (file_modified_at, source_filename, l_discount) REPLACE (CASE
+        WHEN year(file_modified_at) >= 1998 THEN CAST(l_discount * 10 AS DECIMAL(18,6))
+        ELSE CAST(RATIO_OPC AS DECIMAL(18,6)) END AS RATIO_OPC)
+    FROM ({_delivery_sql(_FILE_COLUMNS + ", l_discount")}) WHERE DOCKET_ID NOT LIKE '%-%-2'"""
+)
+def widened_column(spark, sf_dir):
+    """Whole numbers in the batch before, six digits since: read together, nothing rewritten."""
+    tables = ds.Tables.below(scratch_path(spark, "widened"))
+    docs = delivery_documents(spark, sf_dir)
+    late = F.year("file_modified_at") >= 1998
+    fields = (replace(f, type="decimal(18,6)") if f.name == "RATIO_OPC" else f for f in _spec().fields)
+    wider = replace(_spec(), fields=tuple(fields))
+    ds.commit_batch(docs.where(~late), _spec(), tables, "append")
+    ds.commit_batch(docs.where(late), wider, tables, "append")
+    rows = ds.read_master(spark, wider, tables)
+    return rows.where("DOCKET_ID NOT LIKE '%-%-2'").select(*_DELIVERY_COLUMNS)
+
+
+@query(
+    f"""SELECT count(DISTINCT row({_NATURAL_KEY})) AS distinct_keys, true AS estimate_within_3_percent
+    FROM ({_delivery_sql()})"""
+)
+def estimated_keys(spark, sf_dir):
+    """Distinct dockets of all batches, exactly and from the sketches in the audit."""
+    tables = ds.Tables.below(scratch_path(spark, "sketches"))
+    list(_stamped_batches(spark, sf_dir, tables))
+    exact = ds.validate_master(ds.read_master(spark, _spec(), tables), list(_spec().natural_key))
+    audit = ds.read_audit(spark, tables)
+    estimate = ds.estimated_keys(audit).select(F.col("distinct_keys").alias("estimate"))
+    near = F.abs(F.col("estimate") - F.col("distinct_keys")) <= 0.03 * F.col("distinct_keys")
+    return exact.join(F.broadcast(estimate)).select("distinct_keys", near.alias("estimate_within_3_percent"))
+
+
+@query(
+    """SELECT c AS column_name, f AS format, CASE WHEN c = f THEN n ELSE 0 END AS readable, n AS total
+    FROM (SELECT count(*) AS n FROM orders),
+        unnest(['iso', 'day_first', 'month_first', 'epoch_seconds', 'epoch_millis']) t(c),
+        unnest(['iso', 'epoch_seconds', 'epoch_millis']) u(f)"""
+)
+def detected_times(spark, sf_dir):
+    """How many of the order dates, spelt in five ways, each format can read."""
+    date = F.col("o_orderdate").cast("timestamp_ntz")
+    seconds = F.unix_seconds(F.convert_timezone(F.lit("UTC"), F.current_timezone(), date).cast("timestamp"))
+    spelt = {
+        "iso": _iso("o_orderdate"),
+        "day_first": F.date_format("o_orderdate", "dd/MM/yyyy"),
+        "month_first": F.date_format("o_orderdate", "MM/dd/yyyy"),
+        "epoch_seconds": F.lpad(seconds.cast("string"), 9, "0"),
+        "epoch_millis": F.lpad((seconds * 1000).cast("string"), 12, "0"),
+    }
+    texts = table(spark, sf_dir, "orders").select(*(v.alias(k) for k, v in spelt.items()))
+    counts = ds.count_formats(texts, list(spelt))
+    return counts.where("format IN ('iso', 'epoch_seconds', 'epoch_millis')")
+
+
+@query(
+    """SELECT CAST(o_orderdate AS TIMESTAMP) AS parsed, spelling, count(*) AS orders
+    FROM orders, unnest(['day_first', 'month_first', 'epoch_seconds', 'epoch_millis']) t(spelling) GROUP BY ALL"""
+)
+def read_detected_times(spark, sf_dir):
+    """Each spelling read in the format that was detected for it."""
+    date = F.col("o_orderdate").cast("timestamp_ntz")
+    seconds = F.unix_seconds(F.convert_timezone(F.lit("UTC"), F.current_timezone(), date).cast("timestamp"))
+    spelt = {
+        "day_first": F.date_format("o_orderdate", "dd/MM/yyyy"),
+        "month_first": F.date_format("o_orderdate", "MM/dd/yyyy"),
+        "epoch_seconds": F.lpad(seconds.cast("string"), 9, "0"),
+        "epoch_millis": F.lpad((seconds * 1000).cast("string"), 12, "0"),
+    }
+    texts = table(spark, sf_dir, "orders").select(*(v.alias(k) for k, v in spelt.items()))
+    found = ds.detect_formats(texts, list(spelt))
+    parsed = F.array(*(F.struct(ds.parse_time(F.col(c), format=f).alias("parsed"), F.lit(c).alias("spelling")) for c, f in found.items()))
+    return texts.select(F.inline(parsed)).groupBy("parsed", "spelling").agg(F.count("*").alias("orders"))
