@@ -49,6 +49,8 @@ _ROW_BYTES = 160
 # Elements of the sets that one block of an entry holds: of those asking, of all.
 _FEW_ELEMENTS = 1 << 19
 _MANY_ELEMENTS = 1 << 21
+# What a signature counts for, in elements.
+_SIGNATURE = 50
 
 _MARK = "struct<n:bigint,f1:bigint,f2:bigint,sig:binary>"
 
@@ -76,7 +78,9 @@ def signatures(sets: list[np.ndarray], slots: int, bits: int = BITS) -> np.ndarr
     factors, terms = stream(SEED + 1, slots) | np.uint64(1), stream(SEED + 2, slots)
     out = np.empty((len(sets), slots), "<u2")
     for k in range(slots):
-        out[:, k] = np.minimum.reduceat(joined * factors[k] + terms[k], firsts) >> np.uint64(64 - bits)
+        # The least of many hashes is small: scattered, its upper bits say as much as any.
+        least = mix(np.minimum.reduceat(joined * factors[k] + terms[k], firsts))
+        out[:, k] = least >> np.uint64(64 - bits)
     return out
 
 
@@ -243,7 +247,7 @@ def near_duplicates(
     labels = merge_labels(scratch, labels, alike, light)
     rest = members.join(small_side(heads, 16), "key").where("node <> head").select("key", "node")
     rest = _open_entries(scratch, rest, labels, light)
-    links = scratch.write(_within_entries(scratch, rest, sigs, sets, light, percent))
+    links = scratch.write(_within_entries(scratch, rest, sigs, sets, light, percent, distance))
     labels = merge_labels(scratch, labels, links, light)
     merged = labels.join(classes.select("node", "doc_id"), "node")
     least = scratch.write(merged.groupBy("label").agg(F.min("doc_id").alias("component_id")))
@@ -285,25 +289,33 @@ def _open_entries(scratch: Scratch, members: DataFrame, labels: DataFrame, light
 
 
 def _within_entries(
-    scratch: Scratch, members: DataFrame, sigs: DataFrame, sets: DataFrame, light: Light, percent: int
+    scratch: Scratch,
+    members: DataFrame,
+    sigs: DataFrame,
+    sets: DataFrame,
+    light: Light,
+    percent: int,
+    distance: int,
 ) -> DataFrame:
     """Links (a, b) between the labels of the members of an entry.
 
     In each entry one label has the most members; every pair to compare has a member
     of another label. Those meet all members in blocks of bounded size, an exact join on
-    an inverted index of the block, which emits links and no pairs.
+    an inverted index of the block, which emits links and no pairs.  The blocks meet twice:
+    first with the signatures, a hundred bytes each, which leaves the members that have one
+    of another label within ``distance``; then with the full sets of those.
     """
     sizes = light(sigs.groupBy("node").agg(F.max("n").alias("n")))
     sized = scratch.write(members.join(sizes, "node"))
     held = sized.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
     entry = held.groupBy("key").agg(
-        F.max(F.struct("c", "label", "n")).alias("big"), F.sum("n").alias("n")
+        F.max(F.struct("c", "label", "n")).alias("big"), F.sum("n").alias("n"), F.sum("c").alias("c")
     )
     entry = entry.select(
         "key",
         F.col("big.label").alias("big"),
-        F.ceil((F.col("n") - F.col("big.n")) / _FEW_ELEMENTS).cast("int").alias("others"),
-        F.ceil(F.col("n") / _MANY_ELEMENTS).cast("int").alias("blocks"),
+        _blocks(F.col("n") - F.col("big.n"), F.col("c") - F.col("big.c"), _FEW_ELEMENTS).alias("others"),
+        _blocks(F.col("n"), F.col("c"), _MANY_ELEMENTS).alias("blocks"),
     )
     placed = sized.join(small_side(scratch.write(entry), 32), "key")
 
@@ -320,10 +332,49 @@ def _within_entries(
         "key", "node", "label", F.lit(False).alias("asks"), block("blocks").alias("m"), every("others").alias("o")
     )
     rows = small_side(scratch.write(other.unionByName(known)), 40)
-    blocks = rows.join(sets, "node").groupBy("key", "o", "m")
+    signed_rows = rows.join(sigs.select("node", "sig"), "node").groupBy("key", "o", "m")
+    near = scratch.write(signed_rows.applyInArrow(_near_of(distance), rows.schema))
+    blocks = small_side(near, 40).join(sets, "node").groupBy("key", "o", "m")
     return blocks.applyInArrow(_links_of(percent), "a bigint, b bigint")
 
 
+def _blocks(elements: Column, members: Column, most: int) -> Column:
+    """How many blocks hold sets of so many elements, and their members' signatures."""
+    return F.ceil(F.greatest(elements, members * _SIGNATURE) / most).cast("int")
+
+
+def _near_of(distance: int):
+    """Of a block of rows (asks, label, sig): those that ask and have a known one of
+    another label within the distance, and those known ones."""
+
+    def near(rows: pa.Table) -> pa.Table:
+        label = rows["label"].to_numpy()
+        asks = rows["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        sigs = np.frombuffer(b"".join(rows["sig"].to_pylist()), "<u2").reshape(len(label), -1)
+        # The members by slot and value, as an inverted index.
+        slots = sigs.shape[1]
+        values = sigs.astype(np.int64) + (np.arange(slots, dtype=np.int64) << 16)
+        known = np.flatnonzero(~asks)
+        owner = np.repeat(known, slots)
+        listed = values[known].ravel()
+        order = np.argsort(listed, kind="stable")
+        listed, owner = listed[order], owner[order]
+        kept = np.zeros(len(label), bool)
+        for row in np.flatnonzero(asks).tolist():
+            low = np.searchsorted(listed, values[row], "left")
+            count = np.searchsorted(listed, values[row], "right") - low
+            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            same = np.bincount(owner[at], minlength=len(label))
+            close = (same >= slots - distance) & ~asks & (label != label[row])
+            if close.any():
+                kept[row] = True
+                kept |= close
+        return rows.filter(pa.array(kept)).select(names)
+
+    names = ["key", "node", "label", "asks", "o", "m"]
+    return near
+
+
 def _links_of(percent: int):
     """Of a block of rows (asks, label, set): a link for each two labels that join."""
 
