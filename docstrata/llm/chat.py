@@ -140,31 +140,68 @@ def read_digests(segments: DataFrame, template: Template | None = None) -> DataF
 
 
 class _Reader:
-    """The digests of one conversation, segment by segment."""
+    """Parses the formatted text of one conversation by the template and digests its turns.
+
+    Only the text and the loss mask count, not where segments end: a turn runs from the
+    opening with its label to the closing, which no text can hold.
+    """
 
     def __init__(self, conv: int | None, template: Template):
         self.conv, self.template = conv, template
         self.turns, self.learned = hashlib.sha256(), hashlib.sha256()
         self.count = self.chars = self.loss_chars = 0
         self.inside, self.valid = False, True
+        self.text, self.mask = "", []  # what is not parsed yet; the mask as (length, loss)
+        self.before, self.after = template.opening.split("{label}")
 
     def add(self, text: str, loss: bool, valid: bool) -> None:
         self.chars += len(text)
         self.valid = self.valid and valid
-        if self.inside and text == self.template.closing:
-            self.inside = False
-        elif self.inside:
-            plain = self.template.unescape(text)
+        self.text += text
+        self.mask.append((len(text), loss))
+        while self._parse():
+            pass
+
+    def _parse(self) -> bool:
+        if self.inside:
+            end = self.text.find(self.template.closing)
+            if end < 0:
+                return False
+            body, learned = self._take(end)
+            plain = self.template.unescape(body)
             self.turns.update(f"{plain}\n".encode())
-            if loss:
-                self.learned.update(plain.encode())
-                self.loss_chars += len(plain)
+            if learned:
+                learned = self.template.unescape(learned)
+                self.learned.update(learned.encode())
+                self.loss_chars += len(learned)
+            self._take(len(self.template.closing))
         else:
-            self.turns.update(f"{self.template.role(text)}\n".encode())
+            end = self.text.find(self.after, len(self.before))
+            if end < 0:
+                return False
+            head, _ = self._take(end + len(self.after))
+            self.turns.update(f"{self.template.role(head)}\n".encode())
             self.count += 1
-            self.inside = True
+        self.inside = not self.inside
+        return True
+
+    def _take(self, size: int) -> tuple[str, str]:
+        """The next characters, and those of them under the loss mask."""
+        taken, learned, at = self.text[:size], [], 0
+        self.text = self.text[size:]
+        while at < size:
+            length, loss = self.mask.pop(0)
+            used = min(length, size - at)
+            if loss:
+                learned.append(taken[at : at + used])
+            if used < length:
+                self.mask.insert(0, (length - used, loss))
+            at += used
+        return taken, "".join(learned)
 
     def row(self) -> tuple:
+        if self.inside or self.text:
+            raise ValueError(f"conversation {self.conv}: the formatted text ends within a turn")
         digests = self.turns.hexdigest(), self.loss_chars, self.learned.hexdigest()
         return self.conv, self.count, *digests, self.chars, self.valid
 

@@ -112,7 +112,8 @@ class Matcher:
             for i, token in enumerate(tokens):
                 state = a.next[state][token]
                 if i + 1 >= window:
-                    self.window_items.setdefault(self.window_state[state], set()).add(item)
+                    named = self.window_items.setdefault(self.window_state[state], set())
+                    named |= {item} - {None}
             if len(tokens) < window:
                 self.short.setdefault(state, []).append((len(tokens), item))
         self.short_above = self._short_above()
@@ -161,7 +162,7 @@ class Matcher:
             while end >= 0:
                 for size, item in self.short[end]:
                     if size <= length:
-                        items.add(item)
+                        items |= {item} - {None}
                         covered = max(covered, size)
                 above = a.link[end]
                 end = self.short_above[above] if above >= 0 else -1
@@ -247,7 +248,7 @@ def _contamination(
     rows: DataFrame, text: str, items: DataFrame, window: int, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     spark = rows.sparkSession
-    known = pick(items, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    known = pick(items, "item_id", "text").where("text IS NOT NULL")
     known = known.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
     merged = arrow_udf(_merged, "array<struct<first:bigint,last:bigint>>")
@@ -255,9 +256,9 @@ def _contamination(
     scratch = Scratch(spark, "contamination")
     own, out = rows.columns, rows
     for block in range(blocks):
-        dealt = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
+        dealt = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         matcher = spark.sparkContext.broadcast(
-            Matcher(sorted((r["item_id"], r["text"]) for r in dealt), window)
+            Matcher(sorted(((r["item_id"], r["text"]) for r in dealt), key=lambda i: (i[0] is None, *map(str, i))), window)
         )
         found = out.withColumn("found", finder(matcher)(text))
         if not block:

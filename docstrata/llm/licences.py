@@ -175,9 +175,11 @@ def canonical_lines(text: Column) -> Column:
     out = F.translate(F.coalesce(text, F.lit("")), UPPER + PUNCTUATION, LOWER + " " * len(PUNCTUATION))
     out = F.regexp_replace(out, F.lit(COPYRIGHT_LINE), F.lit(""))
     out = F.concat(F.lit(" "), F.replace(out, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
-    out = F.regexp_replace(out, F.lit(" {2,}"), F.lit(" "))
+    # Two blanks between words, so that each has its own and neighbours are both replaced.
+    out = F.regexp_replace(out, F.lit(" +"), F.lit("  "))
     for other, kept in SPELLINGS:
-        out = F.replace(out, F.lit(f" {other} "), F.lit(f" {kept} "))
+        out = F.replace(out, F.lit(f" {other.replace(' ', '  ')} "), F.lit(f" {kept} "))
+    out = F.replace(out, F.lit("  "), F.lit(" "))
     lines = F.transform(F.split(out, "\n"), lambda line: F.trim(line))
     return F.filter(lines, lambda line: line != "")
 

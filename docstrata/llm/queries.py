@@ -61,7 +61,7 @@ found AS (SELECT g.doc_id, g.i, g.n, v.item_id FROM grams g JOIN windows v ON g.
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
   SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY 1),
 named AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY 1)
 SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
@@ -215,7 +215,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
 WITH rows_ AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role))
+  UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+steps AS (
+  SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), '') AS before FROM rows_)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
@@ -223,8 +225,10 @@ SELECT conv_id, count(*) AS n_turns,
   sum(CASE WHEN role IN ('system', 'user', 'assistant') THEN length(role)
     ELSE 1 + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) END
     + length('### : ') + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) + length(' </turn>') + 1
-  )::BIGINT AS formatted_chars
-FROM rows_ GROUP BY conv_id
+  )::BIGINT AS formatted_chars,
+  bool_and(CASE before WHEN 'user' THEN role = 'assistant' WHEN 'system' THEN role = 'user'
+    WHEN 'assistant' THEN role = 'user' WHEN '' THEN role IN ('system', 'user') ELSE false END) AS valid
+FROM steps GROUP BY conv_id
 """,
 )
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +241,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     segments = chat.format_conversations(conversations.unionByName(planted))
     written = Scratch(spark, "chat").write(segments)
-    return chat.read_digests(written).drop("valid")
+    return chat.read_digests(written)
 
 
 @query(
@@ -269,9 +273,10 @@ def _licence_sql() -> str:
         out = f"translate(coalesce({text}, ''), {source}, {target})"
         out = f"regexp_replace({out}, '{licences.COPYRIGHT_LINE}', '', 'g')"
         out = f"' ' || replace({out}, chr(10), ' ' || chr(10) || ' ') || ' '"
-        out = f"regexp_replace({out}, ' {{2,}}', ' ', 'g')"
+        out = f"regexp_replace({out}, ' +', '  ', 'g')"
         for other, kept in licences.SPELLINGS:
-            out = f"replace({out}, ' {other} ', ' {kept} ')"
+            out = f"replace({out}, ' {other.replace(' ', '  ')} ', ' {kept} ')"
+        out = f"replace({out}, '  ', ' ')"
         trimmed = f"list_transform(string_split({out}, chr(10)), lambda l: trim(l))"
         return f"list_filter({trimmed}, lambda l: l <> '')"
 

@@ -8,7 +8,8 @@ it inflates to a WARC header; it owns the records that start in its range and re
 past its end to finish the last one. Records are read one at a time.
 
 Of records with the same payload the one with the largest id is the response; the
-others are revisits, which carry no payload and name the response.
+others are revisits, which carry no payload and name the response, by record id as the
+format has it and by page id for the reader here.
 
 Files are opened through Arrow's file systems, so the folder may be local to all
 machines (``file:``, a mount) or an object store or HDFS that Arrow knows.
@@ -26,6 +27,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyarrow import fs
@@ -34,29 +36,40 @@ from pyspark.sql.functions import arrow_udf
 
 from docstrata.llm.tables import Scratch, pick
 from docstrata.sources.scratch import scratch_path
+from docstrata.sources.tables import qualified
 
 MAGIC = b"\x1f\x8b\x08"
 PROBE = 1 << 12
 BLOCK = 1 << 18
 RANGE_BYTES = 8 << 20
 FILE_BYTES = 256 << 20
-_DATE = "1970-01-01T00:00:00Z"
+_REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Ranges one task reads beyond 10,000 tasks.
+RANGES_PER_TASK = 16
 
 
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(kind: str, id_: int | None, url: str | None, body: bytes, size: int, sha: str, refers: int | None) -> bytes:
+def _record_id(id_: int | None, sha: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{id_}/{sha}')}>"
+
+
+def record(
+    kind: str, id_: int | None, url: str | None, body: bytes, size: int, sha: str, refers: int | None, date: str
+) -> bytes:
     """One record as a gzip member. A revisit has no body but the size and digest of
     the payload it stands for."""
     block = _http(size) + body
     headers = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{id_}/{sha}')}>"),
-        ("WARC-Date", _DATE),
+        ("WARC-Record-ID", _record_id(id_, sha)),
+        ("WARC-Date", date),
         ("WARC-Target-URI", _line(url)),
         ("WARC-Payload-Digest", f"sha1:{sha}"),
+        ("WARC-Profile", _REVISIT if kind == "revisit" else None),
+        ("WARC-Refers-To", _record_id(refers, sha) if kind == "revisit" else None),
         ("WARC-Identified-Payload-Type", "text/html"),
         ("X-Page-Id", id_),
         ("X-Refers-To", refers),
@@ -83,7 +96,7 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path
 
 
-def _writer(folder: str, file_bytes: int):
+def _writer(folder: str, file_bytes: int, date: str):
     """Rows of records to files; yields path, bytes and records of each finished file."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,12 +105,11 @@ def _writer(folder: str, file_bytes: int):
         out, name, size, count = None, "", 0, 0
         done: list[tuple[str, int, int]] = []
         for batch in batches:
-            columns = [batch[c] for c in ("kind", "id", "url", "payload", "digest", "refers")]
+            columns = [batch[c] for c in ("kind", "id", "url", "payload", "size", "digest", "refers")]
             for row in zip(*columns, strict=True):
-                kind, id_, url, payload, sha, refers = (v.as_py() for v in row)
-                payload = payload or b""
+                kind, id_, url, payload, length, sha, refers = (v.as_py() for v in row)
                 body = payload if kind == "response" else b""
-                member = record(kind, id_, url, body, len(payload), sha, refers)
+                member = record(kind, id_, url, body, length, sha, refers, date)
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
                     out, size, count = system.open_output_stream(f"{root}/{name}", compression=None), 0, 0
@@ -125,19 +137,22 @@ def archive(pages: DataFrame, folder: str | None = None, file_bytes: int = FILE_
     )
     rows = rows.withColumn("sha", F.sha1("payload")).withColumn("size", F.length("payload"))
     latest = rows.groupBy("sha", "size").agg(F.max("id").alias("last"))
-    kept = rows.join(latest, ["sha", "size"])
-    first = F.col("id").eqNullSafe(F.col("last"))
-    records = kept.select(
-        F.when(first, "response").otherwise("revisit").alias("kind"),
-        "id",
-        "url",
-        "payload",
-        arrow_udf(_base32, "string")("sha").alias("digest"),
-        F.when(~first, F.col("last")).alias("refers"),
+    # Which rows are responses is a question to digests; bodies travel under their own id,
+    # and those of revisits not at all.
+    chosen = latest.select("last", F.col("sha").alias("_sha"), F.col("size").alias("_size"))
+    same = F.col("id").eqNullSafe(F.col("last")) & (F.col("sha") == F.col("_sha")) & (F.col("size") == F.col("_size"))
+    responses = rows.join(chosen, same).select(
+        F.lit("response").alias("kind"), "id", "url", "payload", "size", "sha", F.lit(None).cast("long").alias("refers")
+    )
+    revisits = rows.drop("payload").join(latest, ["sha", "size"]).where(~F.col("id").eqNullSafe(F.col("last")))
+    revisits = revisits.select(
+        F.lit("revisit").alias("kind"), "id", "url", F.lit(b"").alias("payload"), "size", "sha", F.col("last").alias("refers")
     )
-    folder = folder or scratch_path(spark, "warc")
+    records = responses.unionByName(revisits).withColumn("digest", arrow_udf(_base32, "string")("sha"))
+    folder = qualified(spark, folder or scratch_path(spark, "warc"))
+    date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     return Scratch(spark, "warc-files").write(
-        records.mapInArrow(_writer(folder, file_bytes), "path string, bytes bigint, records bigint")
+        records.mapInArrow(_writer(folder, file_bytes, date), "path string, bytes bigint, records bigint")
     )
 
 
@@ -266,7 +281,8 @@ def read(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
         "path", "bytes", F.explode(F.expr(f"sequence(0L, greatest(bytes - 1, 0L), {range_bytes}L)")).alias("start")
     ).select("path", "start", F.least(F.col("start") + range_bytes, "bytes").alias("end"))
     count = files.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
-    spread = ranges.repartition(int(max(1, min(count, 10_000))), "path", "start")
+    tasks = max(1, min(count, 10_000), -(-int(count) // RANGES_PER_TASK))
+    spread = ranges.repartition(int(tasks), "path", "start")
     return spread.mapInArrow(_reader, _RECORD)
 
 

@@ -20,6 +20,7 @@ from docstrata.llm import (
     neardup,
     packing,
     quality,
+    queries,
     sharding,
     substrings,
     topk,
@@ -137,14 +138,14 @@ def contaminated(rows, listed, window):
         hit, found = set(), set()
         for item, other in listed:
             tokens = WORD.findall(lowered(other))
-            if item is None or not tokens:
+            if not tokens:
                 continue
             n = min(window, len(tokens))
             for i in range(len(tokens) - n + 1):
                 for j in range(len(words) - n + 1):
                     if words[j : j + n] == tokens[i : i + n]:
                         hit |= set(range(j, j + n))
-                        found.add(str(item))
+                        found |= {str(item)} - {"None"}
         out.append((doc, len(words), sorted(hit), sorted(found)))
     return ranks(out)
 
@@ -166,6 +167,14 @@ def test_contamination_is_that_of_brute_force(docs, items):
     assert reported(decontaminate.contamination(docs(rows), items(listed), window=5, block_chars=40)) == want
 
 
+def test_items_without_id_hit_words_but_are_not_listed(docs, items):
+    known = [(None, "one two three"), (7, "three four"), (None, " ".join(f"w{i}" for i in range(20)))]
+    rows = [(1, "x one two three four y"), (2, " ".join(f"w{i}" for i in range(3, 18)))]
+    found = decontaminate.contamination(docs(rows), items(known), 13)
+    got = {r["doc_id"]: (r["n"], r["items"]) for r in found.select("doc_id", decontaminate.hit_words().alias("n"), "items").collect()}
+    assert got == {1: (4, ["7"]), 2: (15, [])}
+
+
 def test_contaminated_documents_go_and_long_spans_are_cut(docs, items):
     listed = items([(1, "one two three four five")])
     clean = " ".join(f"w{i}" for i in range(200))
@@ -216,9 +225,10 @@ def test_ids_are_those_of_the_tokenizer():
 def test_packing(docs):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 90)))) for i in range(300)]
-    rows += EDGES[:5] + EDGES[6:]
-    rows = [(d, t if t is None or len(t) < 10**5 else t[:3000]) for d, t in rows]
-    placed = packing.pack(docs(rows), capacity=64, group=50).collect()
+    rows += EDGES
+    rows += [(400 + i, edge + blank * 2_000_000 + edge) for i, (blank, edge) in enumerate(itertools.product(" \t\n", ("", "x")))]
+    exact = packing._exact(packing.TOKENIZER)
+    placed = packing.pack(docs(rows), capacity=64).collect()
     bins: dict[int, list] = {}
     for r in placed:
         bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
@@ -230,7 +240,7 @@ def test_packing(docs):
         assert at <= 64
     want = []
     for doc, text in rows:
-        ids = packing.encode(text)
+        ids = np.array([*exact.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         starts = packing.cuts(len(ids), 64)
         for n, (a, b) in enumerate(itertools.pairwise([*starts, len(ids)])):
             assert b - a == 64 or n == 0
@@ -253,6 +263,29 @@ def test_token_sequences(docs):
         assert [i for _, p in sorted(back[doc]) for i in p] == packing.encode(text).tolist()
 
 
+def test_query_packs_every_document_with_the_ids_of_the_tokenizer(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    exact = packing._exact(packing.TOKENIZER)
+    want, total = {}, 0
+    for r in spark.read.parquet(path).collect():
+        ids = np.array([*exact.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
+        first = (len(ids) - 1) % 2048 + 1
+        for n, a in enumerate([0, *range(first, len(ids), 2048)]):
+            part = ids[a : first if n == 0 else a + 2048]
+            want[r["doc_id"], n] = (a, len(part), packing.zlib.crc32(part.tobytes()))
+        total += len(ids)
+    bins: dict[int, list] = {}
+    got = {}
+    for r in queries.QUERIES["op3_pack"](spark, "/root/testdata/sf0.001").collect():
+        got[r["doc_id"], r["piece"]] = (r["start"], r["length"], r["ids_crc32"])
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert got == want
+    for parts in bins.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(parts)))
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    assert len(bins) <= -(-total // 2048) + 1
+
+
 # --- near-duplicates ---------------------------------------------------------
 
 
@@ -416,7 +449,7 @@ def test_any_split_of_an_archive_reads_every_record_once(tmp_path):
             body = rng.randbytes(rng.choice([0, 5, 400, 30_000])) + warc.MAGIC * (i % 3)
             places.append(out.tell())
             bodies.append(body)
-            out.write(warc.record("response", i, "u", body, len(body), warc.digest(body), None))
+            out.write(warc.record("response", i, "u", body, len(body), warc.digest(body), None, "2026-01-01T00:00:00Z"))
         out.write(warc.MAGIC + b"\0" * 40)
     size = path.stat().st_size
     for step in (size, 50_000, 777, 64):
@@ -441,6 +474,13 @@ def test_archive_and_read(spark):
     assert got == ranks(want)
     bodies = {r["page_id"]: r["payload"] for r in read.where("record_type = 'response'").collect()}
     assert bodies[6].decode() == LONG and bodies[3].decode() == "é" * 10
+    files = [f["path"] for f in warc.archive(pages).collect()]
+    assert all(re.match(r"\w+:/", f) for f in files)
+    heads = [warc.parse(c)[0] for f in files for _, c in warc.members(f, 0, 1 << 40)]
+    ids = {h["x-page-id"]: h["warc-record-id"] for h in heads if h["warc-type"] == "response"}
+    for h in heads:
+        assert re.fullmatch(r"20\d\d-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["warc-date"]) and ("warc-profile" in h) == (h["warc-type"] == "revisit")
+        assert h.get("warc-refers-to") == (ids[h["x-refers-to"]] if h["warc-type"] == "revisit" else None)
     urls = {r["page_id"]: r["url"] for r in read.collect()}
     assert urls[2] == "b Evil: 1" and urls[3] is None
     assert warc.read(warc.archive(pages.limit(0))).count() == 0
@@ -520,6 +560,11 @@ def test_chat(spark):
         assert r["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest()
         assert (r["loss_chars"], r["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
     assert {c: r["valid"] for c, r in got.items()} == {1: True, 2: False, 3: False, 4: False, 5: True, None: True}
+    # Wherever segments end: one for each run of characters of one flag, of three characters at most.
+    cut = "explode(transform(sequence(0, greatest((length(text) - 1) div 3, 0)), i -> struct(i, substring(text, i * 3 + 1, 3) AS p)))"
+    fine = segments.where("conv_id < 3").selectExpr("conv_id", "position", "loss", "valid", f"{cut} AS c")
+    fine = fine.selectExpr("conv_id", "position * 1000 + c.i AS position", "c.p AS text", "loss", "valid")
+    assert {r["conv_id"]: r for r in chat.read_digests(fine).collect()} == {c: got[c] for c in (1, 2)}
     text = "".join(r["text"] for r in segments.where("conv_id = 1").orderBy("position").collect())
     assert text == "### User: how\\\\n are \\h1 </turn>\n### Assistant: fine \\lb> </turn>\n"
     assert chat.read_digests(chat.format_conversations(frame.limit(0))).count() == 0
@@ -607,6 +652,14 @@ def test_licence_files_with_their_titles(docs):
     assert {r["doc_id"]: r["licence"] for r in got} == dict(enumerate(want.values()))
 
 
+def test_neighbouring_words_have_one_spelling(docs):
+    words = ("licence", "license", "sub licence", "sublicense", "non commercial", "noncommercial")
+    rows = [(n, f"a {other} {other} {other} b") for n, other in enumerate(words)]
+    digests = {r["doc_id"]: r["digest"] for r in licences.scan(docs(rows)).collect()}
+    assert digests[0] == digests[1] and digests[2] == digests[3] and digests[4] == digests[5]
+    assert len(set(digests.values())) == 3
+
+
 def test_licences_given_as_a_table(spark, docs):
     known = spark.createDataFrame([("Own", "My own licence!", 1)], "licence string, text string, digest int")
     got = licences.scan(docs([(1, "my OWN license"), (2, "other")]), known).collect()
