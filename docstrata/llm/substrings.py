@@ -12,7 +12,9 @@ document sends one row for some twenty words. A window without such a symbol (a
 run of one word, say) represents itself, so no window goes missing. Symbols whose
 context occurs in one document only end there. For the others, stretches of windows
 that are equal as a whole are settled by the smallest document that has them; only the
-first document of each different stretch is compared window by window.
+first document of each different stretch is compared window by window. Stretches that
+follow one another in a document are chained into runs: what is settled reaches a document
+once per run, however many stretches a common passage has.
 
 Defined cases: a null or empty text has no words and loses none; documents of fewer
 words than the window lose none; repeated rows of a doc_id get the same result and do
@@ -39,6 +41,10 @@ SEED = 0x5B57
 _LAST = (1 << 63) - 1
 
 _ANCHOR = "doc bigint, t bigint, key bigint, s1 bigint, s2 bigint, start int, size int"
+_RUNS = (
+    "array<struct<start:int,r1:bigint,r2:bigint,"
+    "parts:array<struct<offset:int,size:int,key:bigint,s1:bigint,s2:bigint>>>>"
+)
 _KEPT = "struct<n_words:bigint,n_removed:bigint,kept:string>"
 
 
@@ -298,14 +304,60 @@ def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Dat
     settled = scratch.write(
         spans.select("key", "s1", "s2", "m").join(later, ["key", "s1", "s2"], "left")
     )
-    cut = found.join(settled, ["key", "s1", "s2"]).where("doc > m OR at IS NOT NULL")
-    at = F.when(F.col("doc") == F.col("m"), F.col("at"))
-    cuts = cut.groupBy("doc", "t").agg(F.collect_list(F.struct("start", "size", at.alias("at"))).alias("cuts"))
-    cuts = scratch.write(cuts)
+    parts = F.collect_list(F.struct("start", "size", "key", "s1", "s2"))
+    chained = found.groupBy("doc", "t").agg(arrow_udf(_chain, _RUNS)(parts).alias("runs"))
+    runs = scratch.write(chained.select("doc", "t", F.inline("runs")))
+    different = runs.groupBy("r1", "r2").agg(F.first("parts").alias("parts"))
+    each = different.select("r1", "r2", F.inline("parts")).join(settled, ["key", "s1", "s2"])
+    verdict = each.groupBy("r1", "r2").agg(F.collect_list(F.struct("offset", "size", "m", "at")).alias("parts"))
+    met = runs.select("doc", "t", "start", "r1", "r2").join(scratch.write(verdict), ["r1", "r2"])
+    gone = F.filter("parts", lambda p: (F.col("doc") > p["m"]) | p["at"].isNotNull())
+    placed = F.transform(
+        gone,
+        lambda p: F.struct(
+            (F.col("start") + p["offset"]).alias("start"),
+            p["size"].alias("size"),
+            F.when(F.col("doc") == p["m"], p["at"]).alias("at"),
+        ),
+    )
+    cut = met.select("doc", "t", placed.alias("cuts")).where(F.size("cuts") > 0)
+    cuts = scratch.write(cut.groupBy("doc", "t").agg(F.flatten(F.collect_list("cuts")).alias("cuts")))
     scratch.keep_only(cuts)
     return cuts
 
 
+def _chain(stretches: pa.Array) -> pa.Array:
+    """Of the stretches of each text: runs of stretches that follow one another, each with
+    its place, a 128-bit name made of the names of its stretches, and these."""
+    ends = stretches.offsets.to_numpy()
+    flat = stretches.flatten()
+    columns = {c: flat.field(c).to_numpy() for c in ("start", "size", "key", "s1", "s2")}
+    row = np.repeat(np.arange(len(stretches)), np.diff(ends))
+    order = np.lexsort((columns["start"], row))
+    row = row[order]
+    start, size, *names = (columns[c][order] for c in ("start", "size", "key", "s1", "s2"))
+    heads = np.ones(len(row), bool)
+    heads[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + size[:-1])
+    first = np.append(np.flatnonzero(heads), len(row))
+    halves = [size.astype(np.uint64) + np.uint64(k << 32) for k in range(2)]
+    for column in names:
+        halves = [mix(h * np.uint64(0x9E3779B97F4A7C15) + np.ascontiguousarray(column).view(np.uint64)) for h in halves]
+    parts = pa.StructArray.from_arrays(
+        [pa.array(c) for c in ((start - np.repeat(start[heads], np.diff(first))).astype(np.int32), size, *names)],
+        ["offset", "size", "key", "s1", "s2"],
+    )
+    runs = pa.StructArray.from_arrays(
+        [
+            pa.array(start[heads]),
+            *(pa.array(signed(Spans(h, SEED + 5 + k)(first[:-1], first[1:]))) for k, h in enumerate(halves)),
+            pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), parts),
+        ],
+        ["start", "r1", "r2", "parts"],
+    )
+    counts = np.bincount(row[heads], minlength=len(stretches))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), runs)
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     """Documents by id and hash of the text, so that rows that share an id stay apart."""
     return pick(docs, "doc_id", "text").select(
