@@ -47,10 +47,10 @@ DISTANCE = 26
 
 _ROW_BYTES = 160
 # Elements of the sets that one block of an entry holds: of those asking, of all.
-_FEW_ELEMENTS = 1 << 19
-_MANY_ELEMENTS = 1 << 21
+_FEW_ELEMENTS = 1 << 18
+_MANY_ELEMENTS = 1 << 20
 # What a signature counts for, in elements.
-_SIGNATURE = 50
+_SIGNATURE = 100
 
 _MARK = "struct<n:bigint,f1:bigint,f2:bigint,sig:binary>"
 
@@ -353,8 +353,8 @@ def _near_of(distance: int):
         sigs = np.frombuffer(b"".join(rows["sig"].to_pylist()), "<u2").reshape(len(label), -1)
         # The members by slot and value, as an inverted index.
         slots = sigs.shape[1]
-        values = sigs.astype(np.int64) + (np.arange(slots, dtype=np.int64) << 16)
-        known = np.flatnonzero(~asks)
+        values = sigs + (np.arange(slots, dtype=np.int32) << 16)
+        known = np.flatnonzero(~asks).astype(np.int32)
         owner = np.repeat(known, slots)
         listed = values[known].ravel()
         order = np.argsort(listed, kind="stable")
