@@ -15,18 +15,19 @@ ARROW_BYTES = 4 << 20
 _ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def reachable(spark: SparkSession) -> None:
+def reachable(spark: SparkSession, arrow_bytes: int = ARROW_BYTES) -> None:
     """Lets the Python workers of a local session import this package, wherever the
     session was started; on a cluster the package is installed.  Arrow batches of texts
-    are bounded by their bytes, in the JVM and in its workers, not by a number of rows.
+    are bounded by their bytes, in the JVM and in its workers, not by a number of rows; a
+    session that already has a lower bound keeps it.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
     limit = re.sub(r"\D", "", spark.conf.get(_ARROW_LIMIT))
-    if int(limit or 0) == 0 or int(limit) > ARROW_BYTES:
-        spark.conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
+    if int(limit or 0) == 0 or int(limit) > arrow_bytes:
+        spark.conf.set(_ARROW_LIMIT, str(arrow_bytes))
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
