@@ -8,7 +8,8 @@ get equal symbols, in whatever document they lie, without a common dictionary.
 
 A window of 50 words is represented by the longest symbol whose context lies within
 it, the first by hash among equally long ones; windows in a row share theirs, so a
-document sends one row for some twenty words. A window without such a symbol (a long
+document has one for some twenty words, and a task sends one row for all places of a
+stretch in some hundred documents. A window without such a symbol (a long
 run of one word, say) represents itself, so no window goes missing. Symbols whose
 context occurs in one document only end there. For the others, stretches of windows
 that are equal as a whole are settled by the smallest document that has them; only the
@@ -40,7 +41,10 @@ LONGEST_SYMBOL = 16
 SEED = 0x5B57
 _LAST = (1 << 63) - 1
 
-_ANCHOR = "doc bigint, t bigint, key bigint, s1 bigint, s2 bigint, start int, size int"
+_ANCHOR = (
+    "key bigint, s1 bigint, s2 bigint, size int, lo bigint, hi bigint, "
+    "places array<struct<doc:bigint,t:bigint,start:int>>"
+)
 _RUNS = (
     "array<struct<start:int,r1:bigint,r2:bigint,"
     "parts:array<struct<offset:int,size:int,key:bigint,s1:bigint,s2:bigint>>>>"
@@ -209,22 +213,27 @@ def _anchors(window: int, rounds: int):
                 sizes = np.diff(np.append(heads, len(starts)))
                 begin, end = starts[heads], starts[heads] + sizes - 1 + window
                 rows = row[heads]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(doc[low + rows]),
-                        pa.array(t[low + rows]),
-                        pa.array(signed(key[heads])),
-                        pa.array(signed(spans(begin, end))),
-                        pa.array(signed(others(begin, end))),
-                        pa.array((begin - words.first[rows]).astype(np.int32)),
-                        pa.array(sizes.astype(np.int32)),
-                    ],
-                    ["doc", "t", "key", "s1", "s2", "start", "size"],
-                )
+                span = [signed(key[heads]), signed(spans(begin, end)), signed(others(begin, end)), sizes.astype(np.int32)]
+                place = [doc[low + rows], t[low + rows], (begin - words.first[rows]).astype(np.int32)]
+                yield _gathered(span, place)
 
     return anchors
 
 
+def _gathered(span: list[np.ndarray], place: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each different stretch of a chunk, with all places it has there."""
+    order = np.lexsort([*place[::-1], *span[::-1]])
+    span, place = [c[order] for c in span], [c[order] for c in place]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in span], axis=0)
+    first = np.flatnonzero(new)
+    places = pa.StructArray.from_arrays([pa.array(c) for c in place], ["doc", "t", "start"])
+    listed = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), places)
+    columns = [pa.array(c[first]) for c in span]
+    columns += [pa.array(f.reduceat(place[0], first)) for f in (np.minimum, np.maximum)]
+    return pa.RecordBatch.from_arrays([*columns, listed], ["key", "s1", "s2", "size", "lo", "hi", "places"])
+
+
 def _windows(window: int):
     """Rows (m, text, spans) to one row per window of each span: (key, s1, s2, m, at, g1, g2)."""
 
@@ -280,13 +289,13 @@ def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Dat
     scratch = Scratch(docs.sparkSession, "substrings")
     texts = _identified(docs)
     anchors = scratch.write(texts.mapInArrow(_anchors(window, rounds), _ANCHOR))
-    shared = anchors.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    shared = anchors.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     shared = shared.where("lo < hi").select("key")
-    found = scratch.write(anchors.join(shared, "key", "left_semi").distinct())
+    held = scratch.write(anchors.join(shared, "key", "left_semi"))
     scratch.drop(anchors)
     span = ["key", "s1", "s2", "size"]
-    place = F.min(F.struct("doc", "t", "start")).alias("p")
-    spans = scratch.write(found.groupBy(*span).agg(place).select(*span, F.expr("p.doc AS m"), "p.t", "p.start"))
+    place = F.min(F.array_min("places")).alias("p")
+    spans = scratch.write(held.groupBy(*span).agg(place).select(*span, F.expr("p.doc AS m"), "p.t", "p.start"))
     several = spans.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     open_ = spans.join(several, "key", "left_semi").groupBy("m", "t")
     open_ = scratch.write(open_.agg(F.collect_list(F.struct(*span, "start")).alias("spans")))
@@ -304,7 +313,9 @@ def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Dat
     settled = scratch.write(
         spans.select("key", "s1", "s2", "m").join(later, ["key", "s1", "s2"], "left")
     )
-    parts = F.collect_list(F.struct("start", "size", "key", "s1", "s2"))
+    # The places of a common stretch lie in one part after the join: dealt anew, then listed.
+    found = held.repartition("lo").select(*span, F.inline("places"))
+    parts = F.collect_set(F.struct("start", "size", "key", "s1", "s2"))  # repeated rows count once
     chained = found.groupBy("doc", "t").agg(arrow_udf(_chain, _RUNS)(parts).alias("runs"))
     runs = scratch.write(chained.select("doc", "t", F.inline("runs")))
     different = runs.groupBy("r1", "r2").agg(F.first("parts").alias("parts"))
