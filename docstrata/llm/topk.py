@@ -10,10 +10,16 @@ blocks of bounded size, every block against all candidates.
 Components become floor(scale * x), and scores are exact: in double precision while
 every partial sum stays below 2 ** 53, in whole numbers of any size beyond that.
 
+Before the search, the queries of a block meet each other, which are candidates too: the
+k-th best score a query finds there is its lower limit in every task from the start.
+
 Defined cases: vectors that are null, hold a null or a number that is not finite, or
-have no id take no part; a shorter vector counts as padded with zeros; rows that share
-an id are one candidate, with its best score, and never meet a query of that id; a
-score beyond 64 bits becomes the nearest 64-bit number.
+have no id take no part; a shorter vector counts as padded with zeros; every row is a
+candidate of its own, also where rows share an id or are equal, and none meets a query of
+its id; query rows that share an id are ranked together, so that equal ones list each
+candidate as often as there are such rows; equal scores go by ascending vec_id; a
+component beyond the largest double becomes that, a score beyond 64 bits the nearest
+64-bit number; an empty table has no rows; further columns do not matter.
 """
 
 from __future__ import annotations
@@ -34,36 +40,38 @@ TILE = 128
 CANDIDATES = 4096
 FEW = 0.25
 _EXACT = float(1 << 53)
+_LARGEST = np.finfo(np.float64).max
 
 
-def quantise(vectors: list, scale: int) -> list[np.ndarray]:
-    """The whole numbers floor(scale * x) of each vector, as doubles."""
-    return [np.floor(np.asarray(v, np.float64) * scale) for v in vectors]
+def matrix(vectors: pa.ListArray, scale: int) -> np.ndarray:
+    """The whole numbers floor(scale * x) of each vector, as doubles, one vector per row."""
+    sizes = np.diff(vectors.offsets.to_numpy())
+    with np.errstate(over="ignore"):
+        values = np.floor(vectors.flatten().to_numpy(zero_copy_only=False) * scale)
+    out = np.zeros((len(vectors), sizes.max(initial=0)))
+    out[np.arange(out.shape[1]) < sizes[:, None]] = np.clip(values, -_LARGEST, _LARGEST)
+    return out
 
 
-def _matrix(rows: list[np.ndarray], width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width))
-    for i, row in enumerate(rows):
-        out[i, : len(row)] = row
-    return out
+def _padded(rows: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
 
 
 class Queries:
-    """A block of queries and the best candidates each has met so far."""
-
-    def __init__(self, ids: np.ndarray, vectors: list[np.ndarray], k: int):
-        self.ids, self.k = ids, k
-        self.width = max((len(v) for v in vectors), default=0)
-        self.matrix = _matrix(vectors, self.width)
-        self.best: list[dict[int, int]] = [{} for _ in ids]
-        self.least = np.full(len(ids), -np.inf)
-
-    def meet(self, ids: np.ndarray, vectors: list[np.ndarray], dimensions: int) -> None:
-        width = max(self.width, max((len(v) for v in vectors), default=0))
-        queries = np.zeros((len(self.ids), width))
-        queries[:, : self.width] = self.matrix
-        columns = np.ascontiguousarray(_matrix(vectors, width).T)
-        reach = np.sqrt((queries**2).sum(axis=1)).max(initial=0) * np.sqrt((columns**2).sum(axis=0)).max(initial=0)
+    """A block of queries and the best candidates each has met so far; ``least`` holds
+    scores that k candidates of each query are known to reach."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, least: np.ndarray | None = None):
+        self.ids, self.k, self.matrix = ids, k, vectors
+        self.best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
+        self.least = np.full(len(ids), -np.inf) if least is None else least.copy()
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, dimensions: int) -> None:
+        width = max(self.matrix.shape[1], vectors.shape[1])
+        queries = _padded(self.matrix, width)
+        columns = np.ascontiguousarray(_padded(vectors, width).T)
+        with np.errstate(over="ignore"):
+            reach = np.sqrt((queries**2).sum(axis=1)).max(initial=0) * np.sqrt((columns**2).sum(axis=0)).max(initial=0)
         if not reach < _EXACT:
             self._meet_large(ids, queries, columns)
             return
@@ -101,40 +109,50 @@ class Queries:
             numbers = [int(x) for x in query]
             scores = [sum(a * b for a, b in zip(numbers, c, strict=True)) for c in whole]
             bounded = [max(-(1 << 63), min((1 << 63) - 1, s)) for s in scores]
-            self._offer(row, ids, np.array(bounded, dtype=object))
+            self._offer(row, ids, np.array(bounded, np.int64))
 
     def _offer(self, row: int, ids: np.ndarray, scores: np.ndarray) -> None:
         """Keeps the best k of what a query has and of what it is offered."""
-        other = ids != self.ids[row]
-        ids, scores = ids[other], scores[other]
-        if not len(ids):
+        wanted = (ids != self.ids[row]) & (scores >= self.least[row])
+        if not wanted.any():
             return
-        if len(ids) > 4 * self.k and scores.dtype != object and len(np.unique(ids)) == len(ids):
+        ids = np.concatenate([self.best[row][0], ids[wanted]])
+        scores = np.concatenate([self.best[row][1], scores[wanted].astype(np.int64)])
+        if len(ids) > 4 * self.k:
             kth = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
             ids, scores = ids[scores >= kth], scores[scores >= kth]
-        best = self.best[row]
-        for id_, score in zip(ids.tolist(), scores.tolist(), strict=True):
-            best[id_] = max(int(score), best.get(id_, int(score)))
-        if len(best) > self.k:
-            ranked = sorted(best.items(), key=lambda x: (-x[1], x[0]))[: self.k]
-            self.best[row] = best = dict(ranked)
-        if len(best) == self.k:
-            self.least[row] = min(best.values())
+        order = np.lexsort((ids, ~scores))[: self.k]
+        self.best[row] = ids[order], scores[order]
+        if len(order) == self.k:
+            self.least[row] = max(self.least[row], _below(scores[order[-1]]))
+
+
+def _below(score: np.int64) -> float:
+    """A double that is not above the score."""
+    return float(score) if abs(int(score)) < _EXACT else float(np.nextafter(float(score), -np.inf))
+
+
+def _least_among(ids: np.ndarray, vectors: np.ndarray, k: int, dimensions: int) -> np.ndarray:
+    """For each query a score that k of the queries of its block reach."""
+    among = Queries(ids, vectors, k)
+    for low in range(0, len(ids), CANDIDATES):
+        among.meet(ids[low : low + CANDIDATES], vectors[low : low + CANDIDATES], dimensions)
+    return among.least
 
 
 def _search(block, k: int, scale: int, dimensions: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors = block.value
-        queries = Queries(np.array(ids, np.int64), quantise(vectors, scale), k)
+        ids, vectors, times, least = block.value
+        queries = Queries(ids, vectors, k, least)
         for batch in batches:
             for low in range(0, len(batch), CANDIDATES):
                 part = batch.slice(low, CANDIDATES)
-                found = quantise(part["embedding"].to_pylist(), scale)
-                queries.meet(part["vec_id"].to_numpy(), found, dimensions)
-        for row, best in enumerate(queries.best):
-            names = ["query_id", "vec_id", "score"]
-            columns = [[ids[row]] * len(best), list(best), list(best.values())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+                queries.meet(part["vec_id"].to_numpy(), matrix(part["embedding"], scale), dimensions)
+        for query, (found, scores), count in zip(ids, queries.best, times, strict=True):
+            if len(found):
+                columns = (np.full(len(found), query), found, scores)
+                arrays = [pa.array(np.repeat(c, min(count, k))) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
     return search
 
@@ -159,18 +177,20 @@ def exact_top_k(
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
     rows = usable(vectors)
-    queries = rows.where(is_query).distinct()
+    queries = rows.where(is_query).groupBy("vec_id", "embedding").agg(F.count(F.lit(1)).alias("times"))
+    queries = scratch.write(queries)
     blocks = max(1, -(-2 * queries.count() // query_block))
     blocks = 1 if blocks <= 2 else blocks
     met = None
     for number in range(blocks):
-        place = F.pmod(F.xxhash64("vec_id"), F.lit(blocks).cast("long"))
-        asked = sorted(queries.where(place == number).collect(), key=lambda r: (r[0], r[1]))
-        block = spark.sparkContext.broadcast(([r[0] for r in asked], [r[1] for r in asked]))
+        place = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks).cast("long"))
+        asked = queries.where(place == number).toArrow().sort_by("vec_id").combine_chunks()
+        ids, times = asked["vec_id"].to_numpy(), asked["times"].to_numpy()
+        own = matrix(pa.array(asked["embedding"].to_pylist(), pa.list_(pa.float64())), scale)
+        block = spark.sparkContext.broadcast((ids, own, times, _least_among(ids, own, k, dimensions)))
         found = scratch.write(
             rows.mapInArrow(_search(block, k, scale, dimensions), "query_id bigint, vec_id bigint, score bigint")
         )
         met = found if met is None else met.unionByName(found)
-    best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -574,20 +574,17 @@ def test_chat(spark):
 
 
 def best(rows, is_query, k):
-    known: dict[int, list] = {}
-    for id_, v in rows:
-        if id_ is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            known.setdefault(id_, []).append([int(np.floor(64 * x)) for x in v])
-    out = []
-    for q in known:
-        if not is_query(q):
-            continue
-        scores = []
-        for c in known:
-            if c != q:
-                scores.append((-max(sum(a * b for a, b in zip(x, y)) for x in known[q] for y in known[c]), c))  # noqa: B905
-        out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(scores)[:k])]
-    return ranks(out)
+    known = [
+        (id_, [int(np.floor(64 * x)) for x in v])
+        for id_, v in rows
+        if id_ is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    met: dict[int, list] = {}
+    for q, x in known:
+        if is_query(q):
+            scores = [(-sum(a * b for a, b in zip(x, y)), c) for c, y in known if c != q]  # noqa: B905
+            met[q] = met.get(q, []) + scores
+    return ranks((q, n + 1, c, -s) for q, found in met.items() for n, (s, c) in enumerate(sorted(found)[:k]))
 
 
 @pytest.mark.parametrize("big", [False, True])
@@ -597,6 +594,7 @@ def test_top_k_is_that_of_brute_force(spark, big):
     rows = [(i, [rng.choice([0.5, -0.25, 0.1, 0.3]) for _ in range(12)]) for i in range(150)]
     rows += [(200, None), (201, [None] * 12), (202, [float("nan")] * 12), (203, [float("inf")] * 12), (None, [1.0] * 12)]
     rows += [(204, []), (205, [1.0]), (206, [0.1] * 20), (7, [2.0] * 12), (7, [2.0] * 12), (0, [1.5] * 12)]
+    rows += [(20, rows[20][1]), (7, [1.75] * 12), (40, [2.5] * 12)]
     if big:
         rows = rows[:60] + [(300, [1e9] * 12), (320, [-1e9] * 12)]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id bigint, embedding array<double>, score int").repartition(3)
@@ -606,6 +604,25 @@ def test_top_k_is_that_of_brute_force(spark, big):
     assert topk.exact_top_k(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_the_largest_doubles(spark):
+    reachable(spark)
+    rows = [(0, [1e308, 1.0]), (1, [1e308, 1.0]), (2, [-1e308, 1.0]), (3, [0.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.exact_top_k(frame, F.col("vec_id") == 0).collect()
+    assert [tuple(r)[1:] for r in got] == [(1, 1, (1 << 63) - 1), (2, 3, 64 * 128), (3, 2, -(1 << 63))]
+
+
+def test_queries_of_a_block_limit_each_other():
+    rng = np.random.default_rng(3)
+    vectors = np.floor(rng.normal(size=(300, 8)) * 64)
+    ids = np.arange(300) // 2 * 20
+    least = topk._least_among(ids, vectors, 5, 4)
+    scores = (vectors @ vectors.T).astype(int)
+    for row in range(len(ids)):
+        others = np.sort(scores[row][ids != ids[row]])
+        assert least[row] == others[-5]
+
+
 # --- licences ----------------------------------------------------------------
 
 
