@@ -38,6 +38,9 @@ ROUNDS = 5
 LONGEST_RUN = 3
 LONGEST_SYMBOL = 16
 SEED = 0x5B57
+#: A key of more rows than this is common, unless there are more than so many such keys.
+HOT_ROWS = 5_000
+HOT_KEYS = 100_000
 _LAST = (1 << 63) - 1
 
 _ANCHOR = "doc bigint, t bigint, key bigint, s1 bigint, s2 bigint, start int, size int"
@@ -280,15 +283,15 @@ def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Dat
     scratch = Scratch(docs.sparkSession, "substrings")
     texts = _identified(docs)
     anchors = scratch.write(texts.mapInArrow(_anchors(window, rounds), _ANCHOR))
-    shared = anchors.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    shared = shared.where("lo < hi").select("key")
-    found = scratch.write(anchors.join(shared, "key", "left_semi").distinct())
+    ends = F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("c")
+    shared = scratch.write(anchors.groupBy("key").agg(*ends).where("lo < hi").select("key", "c"))
+    found = scratch.write(_met(anchors, shared, ["key"], "left_semi").distinct())
     scratch.drop(anchors)
     span = ["key", "s1", "s2", "size"]
     place = F.min(F.struct("doc", "t", "start")).alias("p")
     spans = scratch.write(found.groupBy(*span).agg(place).select(*span, F.expr("p.doc AS m"), "p.t", "p.start"))
-    several = spans.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    open_ = spans.join(several, "key", "left_semi").groupBy("m", "t")
+    several = scratch.write(spans.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    open_ = _met(spans, several, ["key"], "left_semi").groupBy("m", "t")
     open_ = scratch.write(open_.agg(F.collect_list(F.struct(*span, "start")).alias("spans")))
     wanted = small_side(open_.select(F.col("m").alias("doc"), "t"), 16)
     sources = texts.join(wanted, ["doc", "t"], "left_semi").groupBy("doc", "t").agg(F.first("text").alias("text"))
@@ -298,8 +301,9 @@ def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Dat
             _windows(window), "key bigint, s1 bigint, s2 bigint, m bigint, at int, g1 bigint, g2 bigint"
         )
     )
-    least = windows.groupBy("g1", "g2").agg(F.min("m").alias("least"))
-    later = windows.join(least, ["g1", "g2"]).where("least < m")
+    least = windows.groupBy("g1", "g2").agg(F.min("m").alias("least"), F.max("m").alias("most"), F.count(F.lit(1)).alias("c"))
+    least = scratch.write(least.where("least < most").drop("most"))
+    later = _met(windows, least, ["g1", "g2"], "inner").where("least < m")
     later = later.groupBy("key", "s1", "s2").agg(F.collect_set("at").alias("at"))
     settled = scratch.write(
         spans.select("key", "s1", "s2", "m").join(later, ["key", "s1", "s2"], "left")
@@ -326,6 +330,18 @@ def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Dat
     return cuts
 
 
+def _met(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """``rows`` joined with a table of one row per key, where ``c`` is the number of rows
+    that have the key. Rows of a common key stay where they are and meet a broadcast of
+    the common keys, of which there are at most ``HOT_KEYS``, since together they have no
+    more rows than there are; the others are shuffled."""
+    limit = max(HOT_ROWS, rows.count() // HOT_KEYS)
+    common = F.broadcast(keys.where(F.col("c") > limit).drop("c"))
+    others = keys.where(F.col("c") <= limit).drop("c")
+    apart = rows.join(common, on, "left_anti").join(others, on, how)
+    return rows.join(common, on, how).unionByName(apart)
+
+
 def _chain(stretches: pa.Array) -> pa.Array:
     """Of the stretches of each text: runs of stretches that follow one another, each with
     its place, a 128-bit name made of the names of its stretches, and these."""

@@ -404,8 +404,12 @@ def cut(rows, window):
     return ranks(out)
 
 
-@pytest.mark.parametrize(("letters", "window"), [("ab", 8), ("abcdefgh", 6), ("abcdefghijklmnopqrstuvwxyz", 50)])
-def test_removed_words_are_those_of_brute_force(docs, letters, window):
+@pytest.mark.parametrize(
+    ("letters", "window", "hot_rows"),
+    [("ab", 8, 5_000), ("abcdefgh", 6, 5_000), ("abcdefgh", 6, 3), ("abcdefghijklmnopqrstuvwxyz", 50, 5_000)],
+)
+def test_removed_words_are_those_of_brute_force(docs, monkeypatch, letters, window, hot_rows):
+    monkeypatch.setattr(substrings, "HOT_ROWS", hot_rows)
     rng = random.Random(window)
     passages = [rng.choices(letters, k=rng.randint(window - 2, 3 * window)) for _ in range(12)]
     passages += [["a"] * 3 * window, ["a", "b"] * 2 * window]
