@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from docstrata.llm.tables import BROADCAST_BYTES, Scratch, disclose, enclose, inner, pick, small_side
+from docstrata.llm.tables import Scratch, disclose, enclose, inner, pick, small_side
 from docstrata.llm.words import Hasher, Spans, Words, buffers, chunks, mix, not_space, signed, stream
 
 WORDS = 5
@@ -45,7 +45,6 @@ SEED = 0x5E75
 #: Signatures further apart than this belong to sets less than half alike.
 DISTANCE = 26
 
-_ROW_BYTES = 160
 # Elements of the sets that one block of an entry holds: of those asking, of all.
 _FEW_ELEMENTS = 1 << 18
 _MANY_ELEMENTS = 1 << 20
@@ -158,7 +157,7 @@ def _alike(percent: int) -> Column:
     return shared * 100 >= union * percent
 
 
-def merge_labels(scratch: Scratch, labels: DataFrame, links: DataFrame, light: Light) -> DataFrame:
+def merge_labels(scratch: Scratch, labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (node, label) after links (a, b) between labels are contracted.
 
     Every label hangs below its smallest neighbour, chains are shortened by doubling,
@@ -168,7 +167,7 @@ def merge_labels(scratch: Scratch, labels: DataFrame, links: DataFrame, light: L
     while not links.isEmpty():
         parents = scratch.write(links.groupBy("b").agg(F.min("a").alias("p")))
         while True:
-            above = light(parents.select(F.col("b").alias("p"), F.col("p").alias("pp")))
+            above = parents.select(F.col("b").alias("p"), F.col("p").alias("pp"))
             longer = scratch.write(
                 parents.join(above, "p", "left").select(
                     "b", F.coalesce("pp", "p").alias("p"), F.isnotnull("pp").alias("moved")
@@ -178,10 +177,10 @@ def merge_labels(scratch: Scratch, labels: DataFrame, links: DataFrame, light: L
             parents = longer.select("b", "p")
             if done:
                 break
-        labels = labels.join(light(parents.withColumnRenamed("b", "label")), "label", "left")
+        labels = labels.join(parents.withColumnRenamed("b", "label"), "label", "left")
         labels = scratch.write(labels.select("node", F.coalesce("p", "label").alias("label")))
         for end in ("a", "b"):
-            to = light(parents.withColumnRenamed("b", end))
+            to = parents.withColumnRenamed("b", end)
             links = links.join(to, end, "left").withColumn(end, F.coalesce("p", end)).drop("p")
         links = scratch.write(_ordered_links(links))
     return labels
@@ -192,17 +191,6 @@ def _ordered_links(links: DataFrame) -> DataFrame:
     return ordered.where("a < b").distinct()
 
 
-class Light:
-    """Broadcasts tables of at most one short row per node while the nodes, counted
-    once, are few enough; beyond that they are shuffled like any other."""
-
-    def __init__(self, nodes: DataFrame):
-        self.few = nodes.count() * _ROW_BYTES <= BROADCAST_BYTES
-
-    def __call__(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.few else df
-
-
 def near_duplicates(
     docs: DataFrame,
     words: int = WORDS,
@@ -233,25 +221,24 @@ def near_duplicates(
     nodes = scratch.write(members.select("node").distinct())
     sets = scratch.write(_sets_of(texts, classes.join(nodes, "node", "left_semi"), words))
     grouped = scratch.write(nodes.unionByName(owned.select("node")).distinct())
-    light = Light(grouped)
-    sigs = scratch.write(classes.join(light(nodes), "node", "left_semi").select("node", "n", "sig"))
+    sigs = scratch.write(classes.join(nodes, "node", "left_semi").select("node", "n", "sig"))
     labels = scratch.write(grouped.select("node", F.col("node").alias("label")))
     firsts = scratch.write(owned.groupBy("doc_id").agg(F.min("node").alias("a")))
-    same = owned.join(small_side(firsts, 16), "doc_id").select("a", F.col("node").alias("b"))
-    members = _open_entries(scratch, members, labels, light)
+    same = owned.join(firsts, "doc_id").select("a", F.col("node").alias("b"))
+    members = _open_entries(scratch, members, labels)
     heads = scratch.write(members.groupBy("key").agg(F.min("node").alias("head")))
     found = members.join(small_side(heads, 16), "key").where("node <> head")
     pairs = found.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-    pairs = small_side(scratch.write(_close(pairs, light(sigs), percent, distance)), 16)
+    pairs = scratch.write(_close(pairs, sigs, percent, distance))
     alike = _confirmed(pairs, sets, percent).unionByName(same)
-    labels = merge_labels(scratch, labels, alike, light)
+    labels = merge_labels(scratch, labels, alike)
     rest = members.join(small_side(heads, 16), "key").where("node <> head").select("key", "node")
-    rest = _open_entries(scratch, rest, labels, light)
-    links = scratch.write(_within_entries(scratch, rest, sigs, sets, light, percent, distance))
-    labels = merge_labels(scratch, labels, links, light)
+    rest = _open_entries(scratch, rest, labels)
+    links = scratch.write(_within_entries(scratch, rest, sigs, sets, percent, distance))
+    labels = merge_labels(scratch, labels, links)
     merged = labels.join(classes.select("node", "doc_id"), "node")
     least = scratch.write(merged.groupBy("label").agg(F.min("doc_id").alias("component_id")))
-    merged = scratch.write(labels.join(light(least), "label").select("node", "component_id"))
+    merged = scratch.write(labels.join(least, "label").select("node", "component_id"))
     of_class = scratch.write(
         classes.join(merged, "node", "left").select(
             "n", "f1", "f2", F.coalesce("component_id", "doc_id").alias("of_class")
@@ -261,7 +248,7 @@ def near_duplicates(
     of_doc = scratch.write(of_doc.select("doc_id", F.col("component_id").alias("of_doc")))
     scratch.keep_only(marks, of_class, of_doc)
     component = F.coalesce("of_doc", "of_class", "doc_id")
-    found = marks.join(of_class, ["n", "f1", "f2"], "left").join(small_side(of_doc, 16), "doc_id", "left")
+    found = marks.join(of_class, ["n", "f1", "f2"], "left").join(of_doc, "doc_id", "left")
     return found.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -276,13 +263,13 @@ def _owned(scratch: Scratch, marks: DataFrame, classes: DataFrame) -> DataFrame:
     ends = [f(c).alias(f"{f.__name__}_{c}") for c in parts for f in (F.min, F.max)]
     apart = marks.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends)
     apart = scratch.write(apart.where(" OR ".join(f"min_{c} < max_{c}" for c in parts)).select("doc_id"))
-    rows = marks.where("n > 0").join(small_side(apart, 8), "doc_id").select("doc_id", *parts).distinct()
+    rows = marks.where("n > 0").join(apart, "doc_id").select("doc_id", *parts).distinct()
     return scratch.write(rows.join(classes.select(*parts, "node"), list(parts)).select("doc_id", "node"))
 
 
-def _open_entries(scratch: Scratch, members: DataFrame, labels: DataFrame, light: Light) -> DataFrame:
+def _open_entries(scratch: Scratch, members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members (key, node, label) of entries that hold several components."""
-    labelled = members.select("key", "node").join(light(labels), "node").select("key", "node", "label")
+    labelled = members.select("key", "node").join(labels, "node").select("key", "node", "label")
     apart = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     apart = small_side(scratch.write(apart.where("lo < hi").select("key")), 8)
     return scratch.write(labelled.join(apart, "key"))
@@ -293,7 +280,6 @@ def _within_entries(
     members: DataFrame,
     sigs: DataFrame,
     sets: DataFrame,
-    light: Light,
     percent: int,
     distance: int,
 ) -> DataFrame:
@@ -305,8 +291,7 @@ def _within_entries(
     first with the signatures, a hundred bytes each, which leaves the members that have one
     of another label within ``distance``; then with the full sets of those.
     """
-    sizes = light(sigs.groupBy("node").agg(F.max("n").alias("n")))
-    sized = scratch.write(members.join(sizes, "node"))
+    sized = scratch.write(members.join(sigs.select("node", "n"), "node"))
     held = sized.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
     entry = held.groupBy("key").agg(
         F.max(F.struct("c", "label", "n")).alias("big"), F.sum("n").alias("n"), F.sum("c").alias("c")
@@ -331,10 +316,10 @@ def _within_entries(
     known = placed.select(
         "key", "node", "label", F.lit(False).alias("asks"), block("blocks").alias("m"), every("others").alias("o")
     )
-    rows = small_side(scratch.write(other.unionByName(known)), 40)
+    rows = scratch.write(other.unionByName(known))
     signed_rows = rows.join(sigs.select("node", "sig"), "node").groupBy("key", "o", "m")
     near = scratch.write(signed_rows.applyInArrow(_near_of(distance), rows.schema))
-    blocks = small_side(near, 40).join(sets, "node").groupBy("key", "o", "m")
+    blocks = near.join(sets, "node").groupBy("key", "o", "m")
     return blocks.applyInArrow(_links_of(percent), "a bigint, b bigint")
 
 
