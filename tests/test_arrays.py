@@ -201,3 +201,24 @@ def test_only_loose_ends_are_shuffled(spark, tmp_path, split_at):
     assert raw.count() == 500
     blocks = raw.groupBy("block_start").agg(F.count("*").alias("n"), F.max("line_pos").alias("last"))
     assert blocks.count() > 15 and blocks.where("n < last").isEmpty()
+
+
+def test_delivered_arrays_are_whole_however_tasks_are_merged(spark):
+    """With 16 parts to merge, a second look at the documents has them in other tasks."""
+    from conftest import SF_DIR
+
+    from docstrata import catalogue
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "60kb")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "60kb")
+    try:
+        rows = catalogue.QUERIES["array_ingest"](spark, SF_DIR)
+        plain = catalogue.QUERIES["nested_ingest"](spark, SF_DIR)
+        assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for name in ("coalescePartitions.minPartitionSize", "coalescePartitions.parallelismFirst", "advisoryPartitionSizeInBytes"):
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
