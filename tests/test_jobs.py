@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import datetime as dt
 import json
 import shutil
@@ -331,3 +332,19 @@ def test_a_clock_for_streams(spark, tmp_path):
     stamp = dt.datetime(2026, 1, 2, 3)
     job.run(ingestion_ts=stamp)
     assert [r["INGESTION_TS"] for r in job.master().collect()] == [stamp]
+
+
+def test_delivered_texts_are_packed_in_bounded_files(spark, tmp_path):
+    from conftest import SF_DIR
+
+    from docstrata import catalogue
+
+    docs = catalogue.delivery_documents(spark, SF_DIR).limit(500)
+    catalogue._write_documents(docs, str(tmp_path / "in"))
+    names = [p.name for p in (tmp_path / "in").iterdir() if p.name.startswith("part-")]
+    spec = catalogue._text_spec()
+    assert names and all(re.search(spec.name_regex, n) for n in names)
+    size = sum((tmp_path / "in" / n).stat().st_size for n in names)
+    raw = ds.read_raw(spark, str(tmp_path / "in"), spec.name_regex, spec.name_glob, "lines")
+    count, length = raw.agg(F.count("*"), F.sum(F.length("text"))).first()
+    assert count == 500 and size < length / 3
