@@ -274,3 +274,15 @@ def test_a_comma_is_no_number(raw):
     text = document([{"docketId": "a"}], quantity="12,5")
     with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
         ds.flatten_documents(raw(text), SPEC).collect()
+
+
+def test_rejects_are_found_by_one_parse_of_a_text_made_once(spark):
+    from conftest import SF_DIR
+
+    from docstrata.catalogue import delivery_documents
+
+    docs = delivery_documents(spark, SF_DIR)
+    docs = docs.withColumn("text", F.when(F.col("text").contains("x"), "y").otherwise(F.col("text")))
+    plan = ds.rejected_documents(docs).agg(F.count("*"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") == 1
+    assert plan.lower().count("parsejson") == 1

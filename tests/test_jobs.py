@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
 import datetime as dt
 import json
+import re
 import shutil
 from dataclasses import replace
 from pathlib import Path
