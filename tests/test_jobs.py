@@ -348,3 +348,13 @@ def test_delivered_texts_are_packed_in_bounded_files(spark, tmp_path):
     raw = ds.read_raw(spark, str(tmp_path / "in"), spec.name_regex, spec.name_glob, "lines")
     count, length = raw.agg(F.count("*"), F.sum(F.length("text"))).first()
     assert count == 500 and size < length / 3
+
+
+def test_documents_of_a_batch_are_chosen_before_they_are_made(spark):
+    from conftest import SF_DIR
+
+    from docstrata import catalogue
+
+    supplier = F.get_json_object("text", "$.orders[0].dockets[0].truckNumber").cast("long")
+    chosen = catalogue.delivery_documents(spark, SF_DIR, F.col("l_suppkey") % 3 == 1)
+    assert same_rows(chosen, catalogue.delivery_documents(spark, SF_DIR).where(supplier % 3 == 1))
