@@ -10,6 +10,7 @@ from conftest import same_rows
 from pyspark.sql import functions as F
 
 import docstrata as ds
+from docstrata.sources.documents import parsed_texts
 from docstrata.spec import NOT_YET
 
 SPEC = ds.delivery_spec()
@@ -286,3 +287,58 @@ def test_rejects_are_found_by_one_parse_of_a_text_made_once(spark):
     plan = ds.rejected_documents(docs).agg(F.count("*"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("StructsToJsonEvaluator") == 1
     assert plan.lower().count("parsejson") == 1
+
+
+ODD_LEAVES = [
+    "1.50",
+    "1e400",
+    "1e2",
+    "12.3456784999999999999",
+    "12345678901234567890.5e0",
+    "-0",
+    "0.10",
+    "123456789012345678901234567890",
+    "1.0000000000000000000000000000000000000000001",
+    "true",
+    "false",
+    "null",
+    '{"b": 1, "a": [1, 2.50]}',
+    "[1.0]",
+    '"1.50"',
+    '"-0"',
+    '"{x"',
+    '"a\\nb"',
+    '"12\\n13"',
+    '"12\\n"',
+    '""',
+    '" 7 "',
+    '"2026-03-19T09:41:43.5"',
+    "2026",
+]
+
+
+def test_a_leaf_read_as_text_is_what_its_variant_is(raw):
+    names = ("docketId", "mixId", "orderDate", "loadedTime", "deliveryQuantity", "ratioOPC")
+    fields = (
+        *(f for f in SPEC.fields if f.level == 1 and f.path in names),
+        *(f for f in SPEC.fields if f.name in SPEC.natural_key or f.name in SPEC.view_key and f.level == 0),
+        ds.FieldSpec("SAME_TEXT", "mixId", level=1),
+        ds.FieldSpec("TWO_WAYS", "ratioOPC", level=1),
+        ds.FieldSpec("EPOCH", "epoch", "timestamp_ntz", level=1, format="epoch_seconds"),
+        ds.FieldSpec("UNLESS", "mixId", sentinels=("1.5",), level=1),
+    )
+    fields = {f.name: replace(f, strict=False) for f in fields}
+    spec = replace(SPEC, fields=tuple(fields.values()))
+    form = '{"orders":[{"orderId":"o"},{"orderId":"o","dockets":[null,{"docketId":"k","%s":%s}]}]}'
+    for name in ("mixId", "orderDate", "deliveryQuantity", "ratioOPC", "epoch"):
+        texts = raw(*(form % (name, leaf) for leaf in ODD_LEAVES))
+        typed, variant = (ds.flatten_documents(texts, spec, engine=e) for e in ENGINES)
+        assert sorted(map(str, typed.collect())) == sorted(map(str, variant.collect())), name
+
+
+def test_texts_need_no_variants(raw):
+    """A leaf that is read as text is kept as text, also where a number is delivered."""
+    parsed = parsed_texts(raw(document([{"docketId": 5, "deliveryQuantity": 1.5}])), SPEC)
+    docket = parsed.select(F.col("_docs")[0]["orders"][0]["dockets"][0].alias("k")).schema["k"].dataType
+    kinds = {f.name: f.dataType.simpleString() for f in docket}
+    assert (kinds["docketId"], kinds["orderDate"], kinds["deliveryQuantity"]) == ("string", "string", "variant")
