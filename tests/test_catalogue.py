@@ -7,7 +7,8 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from conftest import SF_DIR, same_rows
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from docstrata import catalogue
@@ -47,3 +48,13 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     assert not entry_point.entry(spark).isEmpty()
+
+
+def test_many_documents_are_built_by_many_tasks(spark, monkeypatch):
+    """No task builds more than its share, as what it builds is sorted there."""
+    few = catalogue.delivery_documents(spark, SF_DIR)
+    monkeypatch.setattr(catalogue, "DOCUMENTS_PER_TASK", 500)
+    many = catalogue.delivery_documents(spark, SF_DIR)
+    sizes = many.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[1] >= 10 and sizes[0] <= 1000
+    assert same_rows(few, many)
