@@ -358,3 +358,19 @@ def test_documents_of_a_batch_are_chosen_before_they_are_made(spark):
     supplier = F.get_json_object("text", "$.orders[0].dockets[0].truckNumber").cast("long")
     chosen = catalogue.delivery_documents(spark, SF_DIR, F.col("l_suppkey") % 3 == 1)
     assert same_rows(chosen, catalogue.delivery_documents(spark, SF_DIR).where(supplier % 3 == 1))
+
+
+def test_delivered_files_are_packed_and_whole(spark, tmp_path):
+    """Only the short rows of the join are sorted, a text is built where it is written."""
+    from conftest import SF_DIR
+
+    from docstrata import catalogue
+
+    catalogue._deliver(spark, SF_DIR, str(tmp_path))
+    known = catalogue.delivery_documents(spark, SF_DIR).select("source_filename", "text")
+    names = {r[0] + ".gz" for r in known.select("source_filename").distinct().collect()}
+    assert {p.name for p in tmp_path.iterdir() if p.name.startswith("site")} == names
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.gz$", "").alias("source_filename")
+    assert same_rows(spark.read.text(str(tmp_path)).select(name, F.col("value").alias("text")), known)
+    length = known.agg(F.sum(F.length("text"))).first()[0]
+    assert sum((tmp_path / n).stat().st_size for n in names) < length / 3
