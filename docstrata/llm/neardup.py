@@ -9,11 +9,13 @@ distance share an entry. Sets that are 80 % alike differ in 10 of the default 50
 on average and share an entry with a probability of 0.999998.
 
 The entries of the index are worked off in two steps. First the smallest member of each
-entry meets the others; pairs that pass the signature distance are confirmed on the full
-sets, and components grow. That settles most entries, also those of thousands of near
-copies, at one comparison per member. In entries that still hold several components,
-every member outside the largest one meets all others on full sets, in blocks of bounded
-size that emit links instead of pairs. So no pair of different components is left out.
+entry meets the others; pairs that pass the signature distance make families. The sets
+of a family of bounded size are brought together once, where all of them meet; in larger
+families the pairs are confirmed on the full sets, at one comparison per member, also for
+thousands of near copies. Components grow. In entries that still hold several families or,
+of large ones, components, every member outside the largest one meets all others on full
+sets, in blocks of bounded size that emit links instead of pairs. So no pair of different
+components is left out.
 
 Defined cases: a text without words, or null, has no shingles and is linked with
 nothing; a text with fewer words than a shingle has its whole sequence as the only
@@ -48,6 +50,8 @@ DISTANCE = 26
 # Elements of the sets that one block of an entry holds: of those asking, of all.
 _FEW_ELEMENTS = 1 << 18
 _MANY_ELEMENTS = 1 << 20
+# Elements of the sets of a family that meet all at once.
+_FAMILY_ELEMENTS = 1 << 20
 # What a signature counts for, in elements.
 _SIGNATURE = 100
 
@@ -230,10 +234,16 @@ def near_duplicates(
     found = members.join(small_side(heads, 16), "key").where("node <> head")
     pairs = found.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     pairs = scratch.write(_close(pairs, sigs, percent, distance))
-    alike = _confirmed(pairs, sets, percent).unionByName(same)
-    labels = merge_labels(scratch, labels, alike)
+    families = _families(scratch, merge_labels(scratch, labels, pairs), sigs)
+    met = small_side(families, 16)
+    large = pairs.join(met.select(F.col("node").alias("a")), "a", "left_anti")
+    alike = _within_families(met, sets, percent).unionByName(_confirmed(scratch.write(large), sets, percent))
+    labels = merge_labels(scratch, labels, alike.unionByName(same))
     rest = members.join(small_side(heads, 16), "key").where("node <> head").select("key", "node")
-    rest = _open_entries(scratch, rest, labels)
+    # Pairs of one family have met, so entries are open between families; -1, -2, ... are no labels.
+    apart = labels.join(met, "node", "left")
+    apart = apart.select("node", F.coalesce(-1 - F.col("family"), "label").alias("label"), F.col("label").alias("own"))
+    rest = _open_entries(scratch, rest, scratch.write(apart))
     links = scratch.write(_within_entries(scratch, rest, sigs, sets, percent, distance))
     labels = merge_labels(scratch, labels, links)
     merged = labels.join(classes.select("node", "doc_id"), "node")
@@ -268,13 +278,32 @@ def _owned(scratch: Scratch, marks: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _open_entries(scratch: Scratch, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members (key, node, label) of entries that hold several components."""
-    labelled = members.select("key", "node").join(labels, "node").select("key", "node", "label")
+    """The members of entries that hold several labels: key and the columns of ``labels``."""
+    labelled = members.select("key", "node").join(labels, "node").select("key", *labels.columns)
     apart = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     apart = small_side(scratch.write(apart.where("lo < hi").select("key")), 8)
     return scratch.write(labelled.join(apart, "key"))
 
 
+def _families(scratch: Scratch, labels: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Rows (node, family) of the labels of several nodes that are small enough for all of
+    their sets to meet at once, with the elements ``n`` of the node."""
+    sized = scratch.write(labels.join(sigs.select("node", "n"), "node"))
+    held = sized.groupBy("label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("all"))
+    held = held.where((F.col("c") > 1) & (F.greatest("all", F.col("c") * _SIGNATURE) <= _FAMILY_ELEMENTS))
+    held = small_side(scratch.write(held.select("label")), 8)
+    return scratch.write(sized.join(held, "label").select("node", F.col("label").alias("family"), "n"))
+
+
+def _within_families(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b) within families. A group holds several families, about as many as a
+    block does."""
+    elements = families.agg(F.sum("n")).first()[0] or 0
+    group = F.pmod(F.xxhash64("family"), F.lit(elements // _FEW_ELEMENTS + 1)).alias("group")
+    rows = sets.join(families, "node").select(group, F.col("node").alias("own"), "set")
+    return rows.groupBy("group").applyInArrow(_links_of(percent), "a bigint, b bigint")
+
+
 def _within_entries(
     scratch: Scratch,
     members: DataFrame,
@@ -283,7 +312,8 @@ def _within_entries(
     percent: int,
     distance: int,
 ) -> DataFrame:
-    """Links (a, b) between the labels of the members of an entry.
+    """Links (a, b) between the components (``own``) of members of an entry with different
+    labels.
 
     In each entry one label has the most members; every pair to compare has a member
     of another label. Those meet all members in blocks of bounded size, an exact join on
@@ -311,10 +341,10 @@ def _within_entries(
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
     other = placed.where("label <> big").select(
-        "key", "node", "label", F.lit(True).alias("asks"), block("others").alias("o"), every("blocks").alias("m")
+        "key", "node", "label", "own", F.lit(True).alias("asks"), block("others").alias("o"), every("blocks").alias("m")
     )
     known = placed.select(
-        "key", "node", "label", F.lit(False).alias("asks"), block("blocks").alias("m"), every("others").alias("o")
+        "key", "node", "label", "own", F.lit(False).alias("asks"), block("blocks").alias("m"), every("others").alias("o")
     )
     rows = scratch.write(other.unionByName(known))
     signed_rows = rows.join(sigs.select("node", "sig"), "node").groupBy("key", "o", "m")
@@ -356,23 +386,26 @@ def _near_of(distance: int):
                 kept |= close
         return rows.filter(pa.array(kept)).select(names)
 
-    names = ["key", "node", "label", "asks", "o", "m"]
+    names = ["key", "node", "label", "own", "asks", "o", "m"]
     return near
 
 
 def _links_of(percent: int):
-    """Of a block of rows (asks, label, set): a link for each two labels that join."""
+    """Of a block of rows (asks, own, set): a link for each two components that join.
+    Without ``asks`` every row asks and is known."""
 
     def links(rows: pa.Table) -> pa.Table:
-        label = rows["label"].to_numpy()
-        asks = rows["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        label = rows["own"].to_numpy()
+        all_meet = "asks" not in rows.column_names
+        asks = np.ones(len(label), bool) if all_meet else rows["asks"].to_numpy(zero_copy_only=False).astype(bool)
         lists = rows["set"].combine_chunks()
         values, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
         offsets = offsets - offsets[0]
         size = np.diff(offsets)
-        known = np.flatnonzero(~asks)
+        is_known = asks if all_meet else ~asks
+        known = np.flatnonzero(is_known)
         owner = np.repeat(np.arange(len(size)), size)
-        listed = ~asks[owner]
+        listed = is_known[owner]
         order = np.argsort(values[listed], kind="stable")
         sorted_values, owners = values[listed][order], owner[listed][order]
         root = {x: x for x in label.tolist()}

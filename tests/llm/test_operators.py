@@ -337,6 +337,31 @@ def test_near_duplicates_are_those_of_brute_force(docs):
     assert kept.columns == docs([]).columns
 
 
+def test_the_sets_of_a_family_meet_once(docs, monkeypatch):
+    """Entries are opened again only where families are too large, with the same result."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(2000)]
+    base = [rng.choices(words, k=80) for _ in range(6)]
+    rows = []
+    for i in range(120):
+        text = list(rng.choice(base))
+        for _ in range(rng.randint(0, 9)):
+            text[rng.randrange(80)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    within, opened = neardup._within_entries, []
+
+    def counted(scratch, members, *rest):
+        opened.append(members.count())
+        return within(scratch, members, *rest)
+
+    monkeypatch.setattr(neardup, "_within_entries", counted)
+    want = components(rows, 2, 80)
+    assert ranks(tuple(r) for r in neardup.near_duplicates(docs(rows), words=2).collect()) == want
+    monkeypatch.setattr(neardup, "_FAMILY_ELEMENTS", 100)
+    assert ranks(tuple(r) for r in neardup.near_duplicates(docs(rows), words=2).collect()) == want
+    assert opened[0] < opened[1] / 10
+
+
 def test_near_duplicate_edges(docs):
     got = ranks(tuple(r) for r in neardup.near_duplicates(docs(EDGES)).collect())
     assert (1, 0, 1, True) in got and (2, 0, 2, True) in got and (5, 0, 5, True) in got
