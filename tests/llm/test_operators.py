@@ -710,3 +710,16 @@ def test_licences_given_as_a_table(spark, docs):
     known = spark.createDataFrame([("Own", "My own licence!", 1)], "licence string, text string, digest int")
     got = licences.scan(docs([(1, "my OWN license"), (2, "other")]), known).collect()
     assert {r["doc_id"]: r["licence"] for r in got} == {1: "Own", 2: None}
+
+
+def test_ids_do_not_need_look_ahead():
+    """The fast pattern has none, and blanks of all kinds give the ids of ``tokenizers``."""
+    fast, exact = packing._fast(packing.TOKENIZER), packing._exact(packing.TOKENIZER)
+    assert "(?" not in fast._pat_str
+    rng = random.Random(8)
+    parts = ["a", "B", "é", "9", "'s", "'", "'ll", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0"]
+    parts += [" ", "᠎", " ", " ", " ", " ", "　", "​", "﻿", "漢", "!", "-", "\0"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=rng.randrange(14)))
+        want = exact.encode(text, add_special_tokens=False).ids
+        assert packing.encode(text).tolist() == [*want, packing.END], repr(text)
