@@ -342,3 +342,10 @@ def test_texts_need_no_variants(raw):
     docket = parsed.select(F.col("_docs")[0]["orders"][0]["dockets"][0].alias("k")).schema["k"].dataType
     kinds = {f.name: f.dataType.simpleString() for f in docket}
     assert (kinds["docketId"], kinds["orderDate"], kinds["deliveryQuantity"]) == ("string", "string", "variant")
+
+
+def test_the_text_is_cleaned_and_marked_once(raw):
+    parsed = parsed_texts(raw('{"orders": []}'), SPEC).drop("text")
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    reader = plan.split("from_json(")[1].split(" AS _parsed")[0]
+    assert "md5" not in reader and plan.count("md5(cast(_text") == 1
