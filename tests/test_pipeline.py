@@ -357,3 +357,38 @@ def test_unknown_options_are_refused(spark, raw):
         ds.read_raw(spark, "/tmp", layout="csv").count()
     with pytest.raises(ValueError):
         ds.flatten_documents(raw("{}"), SPEC, on_error="ignore")
+
+
+def test_the_landing_table_holds_typed_rows_and_every_text(spark, tmp_path):
+    """Values are read from the documents once; texts without rows still count."""
+    job = Job(spark, tmp_path, "append_dedup", "lines")
+    none, bare, both = document("n"), document("b", "x"), b'{"orders": []}'
+    two = b"[" + document("o", "p", "q", "r") + b", null, " + document("o", "p") + b"]"
+    job.put("site_data_1_1.json", b"\n".join([none, bare, b"", two, b"{", both, b"[]"]))
+    row = job.run(on_error="quarantine")["site_data_1_1.json"]
+    found = [row[c] for c in ("documents", "rejected", "row_count", "distinct_keys")]
+    assert found == [6, 1, 5, 4]
+    landing = spark.read.parquet(job.tables.landing)
+    kinds = {f.name: f.dataType.simpleString() for f in landing.schema}
+    assert not any("variant" in k or "array" in k for k in kinds.values())
+    assert (kinds["ORDER_QUANTITY"], kinds["ORDER_DATE"]) == ("decimal(18,6)", "timestamp_ntz")
+    assert landing.where("_first").count() == 7 and landing.where("_row").count() == 5
+
+
+def test_open_times_are_found_from_the_landing_table(spark, tmp_path):
+    fields = (replace(f, format="auto") if f.name == "ORDER_DATE" else f for f in SPEC.fields)
+    spec = replace(SPEC, fields=tuple(fields), provenance=True)
+    line = '{"orders": [{"orderId": "o", "dockets": [{"docketId": "a", "orderDate": "%s"}]}]}'
+    (tmp_path / "site_data_1_1.json").write_text("\n".join(line % d for d in ("13/02/2026 10:20:30", "01/03/2026", "")))
+    tables = ds.Tables.below(str(tmp_path / "tables"))
+    ds.ingest(spark, spec, str(tmp_path), tables, "append", "lines")
+    rows = ds.read_master(spark, spec, tables).select("ORDER_DATE", "line_pos", "element_pos").collect()
+    dates = [dt.datetime(2026, 2, 13, 10, 20, 30), dt.datetime(2026, 3, 1), None]
+    assert sorted(map(tuple, rows), key=lambda r: r[1]) == [(d, n, [0, 0]) for n, d in enumerate(dates)]
+
+
+def test_sketches_are_made_of_files_and_not_of_keys(spark):
+    rows = spark.range(1000).selectExpr("concat('f', id % 2) AS source_filename", "CAST(id AS STRING) AS k")
+    plan = ds.ingestion_audit(rows, "k", sketched=True)._jdf.queryExecution().executedPlan().toString()
+    sketches = [line for line in plan.split("\n") if "hll_sketch_agg" in line]
+    assert len(sketches) == 2 and all("keys=[source_filename#" in s and "_key" not in s.split("functions")[0] for s in sketches)
