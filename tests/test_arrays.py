@@ -222,3 +222,50 @@ def test_delivered_arrays_are_whole_however_tasks_are_merged(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         for name in ("coalescePartitions.minPartitionSize", "coalescePartitions.parallelismFirst", "advisoryPartitionSizeInBytes"):
             spark.conf.unset(f"spark.sql.adaptive.{name}")
+
+
+@pytest.mark.parametrize("pack", ["gzip", "bz2"])
+def test_packed_arrays_are_those_of_plain_files(spark, tmp_path, pack):
+    import bz2
+    import gzip
+
+    packed = {"gzip": (gzip.compress, "gz"), "bz2": (bz2.compress, "bz2")}[pack]
+    bodies = [
+        HARD[0],
+        HARD[1] + b"\n",
+        b"\xef\xbb\xbf" + HARD[0] + b"\r\n\n",
+        b'{"no":"' + b"x" * 300 + b'"}',
+        b"[]",
+        b"",
+        b"[" + b",\r\n".join(document(f"o{n}", "a", grade="},{") for n in range(500)) + b"]",
+        b'[{"a": 1}]}',
+        b'[{"a": 1}',
+        b'[{"a": 1},\n]',
+    ]
+    for n, body in enumerate(bodies):
+        (tmp_path / f"site_data_{n}_1.json").write_bytes(body)
+        (tmp_path / f"site_data_{n}_1.json.{packed[1]}").write_bytes(packed[0](body))
+    raw = ds.read_raw(spark, str(tmp_path), "^site_data", "*", "array")
+    texts = {}
+    for r in raw.orderBy("source_filename", "block_start", "line_pos").collect():
+        # A new line may be put before the mark of a malformed end.
+        texts.setdefault(r["source_filename"], []).append(r["text"].replace("\n", "").strip())
+    for n, body in enumerate(bodies):
+        name = f"site_data_{n}_1.json"
+        assert texts.get(f"{name}.{packed[1]}") == texts.get(name), body[:40]
+    assert len(texts[f"site_data_6_1.json.{packed[1]}"]) == 500
+
+
+def test_delivered_arrays_are_packed(spark, monkeypatch):
+    from conftest import SF_DIR
+
+    from docstrata import catalogue
+
+    seen = []
+    read = ds.read_raw
+    monkeypatch.setattr(ds, "read_raw", lambda spark, folder, *a, **o: seen.append(folder) or read(spark, folder, *a, **o))
+    rows = catalogue.QUERIES["array_ingest"](spark, SF_DIR)
+    plain = catalogue.QUERIES["nested_ingest"](spark, SF_DIR)
+    assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    files = [f for f in os.listdir(seen[0]) if f.startswith("part-")]
+    assert files and all(f.endswith(".txt.gz") for f in files)
