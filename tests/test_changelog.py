@@ -238,3 +238,30 @@ def test_bucketed_master_follows_the_batches(master, spark, tmp_path):
     other = replace(wider, fields=(*FIELDS[:2], ds.FieldSpec("W", "w", "bigint"), wider.fields[3]))
     with pytest.raises(ValueError, match="another name"):
         ds.publish_bucketed(spark, other, master.tables, name, place, 4)
+
+
+def test_no_row_is_shipped_beside_its_place_in_the_order(spark):
+    """Batches stamped later have no late keys, which the stamps alone tell; the state keeps
+    the greatest version with NULLs last, and how many there were."""
+    spec = ds.delivery_spec()
+    names = spec.master_schema().names
+
+    def versions(*rows):
+        made = spark.createDataFrame(rows, "k string, day int, g string, n bigint")
+        at = F.make_timestamp_ntz(F.lit(2026), F.lit(1), F.col("day"), F.lit(0), F.lit(0), F.lit(0))
+        own = {"DOCKET_ID": F.col("k"), "GRADE": F.col("g"), spec.order_col: at}
+        columns = (own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spec.master_schema())
+        return made.select(*columns, F.col("n").alias("_rows"), F.lit(0).alias("bucket"))
+
+    known = versions(("a", 1, "x", 3), ("b", 2, None, 1), ("c", 2, "y", 2))
+    later = versions(("a", 3, "x", 1), ("a", 3, None, 1), ("d", 3, "z", 1)).drop("_rows")
+    assert changelog._late_keys(later, known, spec) is None
+    mixed = versions(("a", 1, "w", 1), ("b", 2, "v", 1), ("b", 5, "v", 1), ("c", 2, None, 1)).drop("_rows")
+    late = changelog._late_keys(mixed, known, spec)
+    assert sorted(r["DOCKET_ID"] for r in late.collect()) == ["a", "b"]
+    moved = changelog._moved_on(later, known, spec)
+    assert moved.columns[-2:] == ["_rows", "bucket"] and set(names) <= set(moved.columns)
+    day = {1: dt.datetime(2026, 1, 1), 2: dt.datetime(2026, 1, 2), 3: dt.datetime(2026, 1, 3)}
+    got = {r["DOCKET_ID"]: (r["GRADE"], r[spec.order_col], r["_rows"]) for r in moved.collect()}
+    assert got == {"a": (None, day[3], 5), "b": (None, day[2], 1), "c": ("y", day[2], 2), "d": ("z", day[3], 1)}
+    assert "SortAggregate" not in moved._jdf.queryExecution().executedPlan().toString()
